@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("analytics_queries",)
+MODULES = (
+    "analytics_queries", "linking_queries", "integrity_queries", "shaping_queries", 
+)
 
 
 def load() -> tuple[dict, dict]:

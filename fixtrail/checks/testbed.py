@@ -101,6 +101,37 @@ VIEWS = {
                CASE WHEN o_orderkey % 3 = 0 THEN substr(md5(CAST(o_orderkey AS STRING)), 1, 7)
                     ELSE md5(CAST(o_orderkey AS STRING)) END AS hash,
                'https://host.example/cust/p_' || CAST(o_custkey % 100 AS STRING) AS repo_url FROM {orders}""",
+    "probe_log": """
+        SELECT 'https://host.example/cust/p_' || CAST(user_id AS STRING) AS url, ts AS probed_at,
+               CASE WHEN event_type = 'error' THEN 404 WHEN event_type = 'click' THEN 200 WHEN event_type = 'view' THEN 302
+                    WHEN event_type = 'signup' THEN 429 ELSE 301 END AS status,
+               CASE WHEN event_id % 2 = 0 THEN 'https://gitlab.com/users/sign_in'
+                    WHEN event_id % 3 = 0 THEN 'https://gitlab.com/new/home' END AS location
+        FROM {events}""",
+    "lines": """
+        SELECT CAST(l_orderkey AS STRING) AS file_change_id, l_suppkey % 2 = 0 AS before_change,
+               CAST(5 * l_linenumber + l_partkey % 400 AS INT) AS line
+        FROM {lineitem}
+        UNION ALL
+        SELECT CAST(l_orderkey AS STRING), l_suppkey % 2 = 1, CAST(64 * l_linenumber AS INT) FROM {lineitem}""",
+    "spans": """
+        SELECT CAST(l_orderkey AS STRING) AS file_change_id, l_suppkey % 3 = 0 AS before_change,
+               CASE WHEN l_suppkey % 13 = 0 THEN '(anonymous)' ELSE 'm' || CAST(l_linenumber AS STRING) END AS name,
+               CAST(5 * l_linenumber + 40 * (l_partkey % 10) AS INT) AS start_line,
+               CAST(5 * l_linenumber + 40 * (l_partkey % 10) + l_suppkey % 200 AS INT) AS end_line
+        FROM {lineitem}""",
+    "nodes": """
+        SELECT p_partkey - 5 AS id, p_brand || ' weakness' AS name, p_name AS description,
+               p_type || ' long text' AS extended_description, false AS is_category FROM {part}
+        UNION ALL
+        SELECT s_suppkey * 3, s_name, 'summary of ' || s_name, '', true FROM {supplier}""",
+    "meta": """
+        SELECT 'https://github.com/o/c' || CAST(c_custkey AS STRING) AS repo_url, c_name AS repo_name,
+               CAST(round(abs(c_acctbal)) AS INT) AS stars_count
+        FROM {customer} WHERE c_custkey % 4 <> 0""",
+    "hosted": """
+        SELECT CASE WHEN o_custkey % 3 = 0 THEN 'https://github.com/o/c' ELSE 'https://gitlab.com/o/c' END ||
+               CAST(o_custkey AS STRING) AS repo_url FROM {orders}""",
     "link_urls": """
         SELECT CAST(l_partkey AS STRING) AS cve_id,
                CASE WHEN l_orderkey % 2 = 0 THEN 'http' ELSE 'https' END || '://' ||

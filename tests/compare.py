@@ -67,7 +67,7 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = build_session(master="local[8]", shuffle_partitions=8, **{"spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", shuffle_partitions=8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles = entry.oracle_sql()
