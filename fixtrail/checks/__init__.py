@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
-    "analytics_queries", "linking_queries", "integrity_queries", "shaping_queries", 
+    "analytics_queries", "linking_queries", "integrity_queries", "shaping_queries", "change_queries", "diff_queries",
 )
 
 

@@ -142,20 +142,17 @@ def pair_methods(methods: DataFrame, placed: bool = False) -> DataFrame:
     )
 
 
-def pair_adjacent(methods: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows 2k and 2k+1 of the whole order, where both have the same file and name (Q13)."""
-    placed = running_total(
-        methods.select("file_change_id", "name", "method_change_id", "code", *[o for o in order if o not in (
-            "file_change_id", "name", "method_change_id", "code")]),
-        order, "_at",
-    )
+def pair_adjacent(methods: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """Rows 2k and 2k+1 of the whole order, where both have the same file and name (Q13).
+
+    ``order`` must be total; the rows are numbered in range partitions, not in one task.
+    """
+    placed = running_total(methods, order, "_at")
     row = F.struct("_at", "file_change_id", "name", "method_change_id", "code")
     pairs = placed.groupBy(F.floor((F.col("_at") - 1) / 2).alias("pair")).agg(
         F.min(row).alias("_f"), F.max(row).alias("_s"), F.count("*").alias("_n")
     )
-    return pairs.where(
-        "_n = 2 AND _f.file_change_id = _s.file_change_id AND _f.name = _s.name"
-    ).select(
+    return pairs.where("_n = 2 AND _f.file_change_id = _s.file_change_id AND _f.name = _s.name").select(
         "pair", "_f.file_change_id", "_f.name",
         F.col("_f.method_change_id").alias("first_id"), F.col("_s.method_change_id").alias("second_id"),
         F.col("_f.code").alias("first_code"), F.col("_s.code").alias("second_code"),
