@@ -144,7 +144,7 @@ UNEVEN = "(SELECT * FROM {method_change} WHERE before_change OR token_count % 9
     FROM le WHERE rn % 2 = 1 AND file_change_id = f2 AND name = n2""")
 def d8(spark, sf_dir):
     methods = tables(spark, sf_dir)["method_change"].where("before_change OR token_count % 9 <> 0")
-    return D.pair_adjacent(methods, ["file_change_id", F.desc("before_change"), "method_change_id"])
+    return D.pair_adjacent(methods, ["file_change_id", "before_change", "method_change_id"], descending=["before_change"])
 
 
 @register("d9_method_patches", f"""

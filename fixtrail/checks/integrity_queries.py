@@ -100,7 +100,7 @@ def _rule_after(name, left, right, relation):
 @register("p7_check_counts_after_prune", " UNION ALL ".join(_rule_after(*rule) for rule in P.COUNT_RULES) + """
     UNION ALL SELECT 'textual_files', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true""")
 def p7_pruned(spark, sf_dir):
-    return P.check_counts(P.prune(tables(spark, sf_dir)))
+    return P.check_counts(P.prune(tables(spark, sf_dir), materialise_links=True))
 
 
 @register("p8_table_counts", """

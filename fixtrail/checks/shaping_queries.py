@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import paths, text
 from ..operators import shaping as S
@@ -55,8 +54,7 @@ def s3(spark, sf_dir):
     SELECT o_orderpriority, o_orderkey, '' AS homepage, CAST(NULL AS INTEGER) AS stars_count,
            CAST(o_totalprice AS VARCHAR) AS o_totalprice FROM orders""")
 def s4(spark, sf_dir):
-    target = T.StructType.fromDDL(
-        "o_orderpriority string, o_orderkey bigint, homepage string, stars_count int, o_totalprice string")
+    target = "o_orderpriority string, o_orderkey bigint, homepage string, stars_count int, o_totalprice string"
     return S.align_schema(tables(spark, sf_dir)["orders"], target)
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.code import signed_lines, slice_lines, surrogate_id
-from ..functions.text import strip
 from ..schemas import COMMITS, FILE_CHANGE, METHOD_CHANGE
 from .shaping import align_schema
 
@@ -23,6 +24,7 @@ LOW_RISK = {"size": ("nloc", 15), "complexity": ("complexity", 5), "interfacing"
 
 # Feature space of the language model; trigrams are folded into this many features.
 FEATURES = 1 << 16
+NO_FEATURE = -1
 UNKNOWN = "unknown"
 
 
@@ -72,24 +74,39 @@ def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
     Code is cut from the source inside the row, so a source text is never copied
     per method. Anonymous functions and sides without source are left out.
     """
+    def kept(methods: str, source: str) -> Column:
+        return F.filter(methods, lambda m: (m["name"] != ANONYMOUS) & F.col(source).isNotNull())
+
     def side(methods: str, source: str, before: bool) -> Column:
-        lines = F.split(source, "\n")
-        kept = F.filter(methods, lambda m: (m["name"] != ANONYMOUS) & F.col(source).isNotNull())
-        rows = F.transform(kept, lambda m: F.struct(
-            m["name"].alias("name"), m.long_name.alias("signature"), m.parameters.alias("parameters"),
-            m.start_line.alias("start_line"), m.end_line.alias("end_line"),
-            slice_lines(lines, m.start_line, m.end_line).alias("code"),
-            m.nloc.alias("nloc"), m.complexity.alias("complexity"), m.token_count.alias("token_count"),
-            m.top_nesting_level.alias("top_nesting_level"), F.lit(before).alias("before_change"),
-        ))
-        return F.coalesce(rows, F.array())
-
-    both = F.concat(side("methods_before", "source_code_before", True), side("methods", "source_code", False))
-    methods = files.select("file_change_id", F.explode(both).alias("_m")).select("file_change_id", "_m.*")
+        def rows(lines: Column) -> Column:
+            return F.transform(kept(methods, source), lambda m: F.struct(
+                m["name"].alias("name"), m.long_name.alias("signature"), m.parameters.alias("parameters"),
+                m.start_line.alias("start_line"), m.end_line.alias("end_line"),
+                slice_lines(lines, m.start_line, m.end_line).alias("code"),
+                m.nloc.alias("nloc"), m.complexity.alias("complexity"), m.token_count.alias("token_count"),
+                m.top_nesting_level.alias("top_nesting_level"), F.lit(before).alias("before_change"),
+            ))
+
+        # The lambda's argument is the split source, computed once for all methods of the file.
+        bound = F.transform(F.array(F.split(source, "\n")), rows)
+        return F.coalesce(bound[0], F.array())
+
+    def span(methods: str, source: str, before: bool) -> Column:
+        places = F.transform(kept(methods, source), lambda m: F.struct(
+            F.lit(before).alias("before_change"), m.start_line.alias("start_line"), m.end_line.alias("end_line")))
+        return F.coalesce(places, F.array())
+
+    sides = (("methods_before", "source_code_before", True), ("methods", "source_code", False))
+
+    def exploded(part: Callable[[str, str, bool], Column]) -> DataFrame:
+        entries = F.explode(F.concat(*[part(*one) for one in sides])).alias("_m")
+        return files.select("file_change_id", entries).select("file_change_id", "_m.*")
+
+    methods = exploded(side)
     if changed_only:
-        place = ["file_change_id", "before_change", "start_line", "end_line"]
-        hit = changed_methods(parsed_lines(files), methods.select(*place))
-        methods = methods.join(hit, place, "left_semi").select(*methods.columns)
+        hit = changed_methods(parsed_lines(files), exploded(span))
+        methods = methods.join(hit, ["file_change_id", "before_change", "start_line", "end_line"], "left_semi").select(
+            *methods.columns)
     return align_schema(methods.withColumn("method_change_id", surrogate_id(
         F.col("file_change_id").cast("string"), F.col("before_change").cast("string"), "name",
         F.col("start_line").cast("string"), F.col("end_line").cast("string"),
@@ -185,13 +202,44 @@ def maintainability(methods: DataFrame, files: DataFrame) -> DataFrame:
     return per_commit.select("hash", *[share(name) for name in LOW_RISK])
 
 
-def _trigram_features(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """(keep…, feature) per run of three characters of the whole text; NULL feature where there is none."""
-    signs = df.select(*keep, F.transform(F.split(strip(F.col(text)), ""), F.ascii).alias("_c"))
-    last = F.greatest(F.size("_c") - 2, F.lit(0))
-    pairs = F.zip_with(F.slice("_c", 1, last), F.slice("_c", 2, last), lambda x, y: x * 1009 + y * 31)
-    features = F.zip_with(pairs, F.slice("_c", 3, last), lambda xy, z: (xy + z) % FEATURES)
-    return signs.select(*keep, F.explode_outer(features).alias("feature"))
+def _trigram_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, feature, amount): how often each folded run of three characters occurs in each whole text.
+
+    A text without such a run gets one row with the feature -1. This is the one
+    step that runs in Python: array arithmetic per text is many times faster than
+    exploding every text into a row per character.
+    """
+    # Nested, so that it travels to the executors by value.
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, features, amounts, held = [], [], [], 0
+
+            def folded() -> pa.RecordBatch:
+                keys = batch.column("key").take(pa.array(np.concatenate(rows)))
+                return pa.RecordBatch.from_arrays(
+                    [keys, pa.array(np.concatenate(features), from_pandas=True), pa.array(np.concatenate(amounts))],
+                    names=["key", "feature", "amount"],
+                )
+
+            for row, whole in enumerate(batch.column("text")):
+                signs = np.frombuffer((whole.as_py() or "").strip().encode("utf-32-le"), dtype="<u4").astype("int64")
+                runs = (signs[:-2] * 1009 + signs[1:-1] * 31 + signs[2:]) % FEATURES
+                feature, amount = np.unique(runs, return_counts=True)
+                if not len(feature):
+                    feature, amount = np.array([NO_FEATURE]), np.array([0])
+                rows.append(np.full(len(feature), row))
+                features.append(feature)
+                amounts.append(amount)
+                held += len(feature)
+                if held > 1_000_000:
+                    yield folded()
+                    rows, features, amounts, held = [], [], [], 0
+            if rows:
+                yield folded()
+
+    kind = df.schema[key].dataType.simpleString()
+    pairs = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return pairs.mapInArrow(fold, f"key {kind}, feature bigint, amount bigint")
 
 
 def train_language(samples: DataFrame, languages: Sequence[str], text: str = "text", label: str = "lang") -> DataFrame:
@@ -199,12 +247,12 @@ def train_language(samples: DataFrame, languages: Sequence[str], text: str = "te
 
     The model has ``FEATURES`` rows whatever it is trained on.
     """
+    labelled = samples.where(F.col(label).isin(*languages))
     counts = (
-        _trigram_features(samples.where(F.col(label).isin(*languages)), text, [label])
-        .groupBy("feature")
-        .agg(*[F.count_if(F.col(label) == name).alias(name) for name in languages])
+        _trigram_counts(labelled, label, text).where(F.col("feature") != NO_FEATURE).groupBy("feature")
+        .agg(*[F.sum(F.when(F.col("key") == name, F.col("amount"))).alias(name) for name in languages])
     )
-    dense = samples.sparkSession.range(FEATURES).select(F.col("id").cast("int").alias("feature"))
+    dense = samples.sparkSession.range(FEATURES).select(F.col("id").alias("feature"))
     filled = dense.join(counts, "feature", "left").fillna(0, list(languages))
     totals = counts.agg(F.struct(*[F.sum(name).alias(name) for name in languages])).scalar()
     return filled.withColumn("_totals", totals).select(
@@ -222,9 +270,10 @@ def label_language(files: DataFrame, model: DataFrame, key: str, text: str) -> D
     """
     languages = [name for name in model.columns if name != "feature"]
     scores = (
-        _trigram_features(files, text, [key])
+        _trigram_counts(files, key, text)
         .join(F.broadcast(model), "feature", "left")
-        .groupBy(key).agg(*[F.sum(name).alias(name) for name in languages])
+        .groupBy(F.col("key").alias(key))
+        .agg(*[F.sum(F.col(name) * F.col("amount")).alias(name) for name in languages])
     )
     best = F.array_max(F.array(*[F.struct(F.col(n).alias("score"), F.lit(n).alias("name")) for n in languages]))
     known = F.col(languages[0]).isNotNull()

@@ -142,12 +142,15 @@ def pair_methods(methods: DataFrame, placed: bool = False) -> DataFrame:
     )
 
 
-def pair_adjacent(methods: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def pair_adjacent(methods: DataFrame, order: Sequence[str], descending: Sequence[str] = ()) -> DataFrame:
     """Rows 2k and 2k+1 of the whole order, where both have the same file and name (Q13).
 
-    ``order`` must be total; the rows are numbered in range partitions, not in one task.
+    ``order`` names columns with a total order, ``descending`` those of them that
+    fall. The rows are numbered in range partitions, not in one task.
     """
-    placed = running_total(methods, order, "_at")
+    needed = dict.fromkeys(("file_change_id", "name", "method_change_id", "code", *order))
+    sorting = [F.desc(column) if column in descending else F.col(column) for column in order]
+    placed = running_total(methods.select(*needed), sorting, "_at")
     row = F.struct("_at", "file_change_id", "name", "method_change_id", "code")
     pairs = placed.groupBy(F.floor((F.col("_at") - 1) / 2).alias("pair")).agg(
         F.min(row).alias("_f"), F.max(row).alias("_s"), F.count("*").alias("_n")

@@ -58,8 +58,10 @@ def drop_columns(df: DataFrame, names: Sequence[str] = FEED_EXTRAS) -> DataFrame
     return df.select(*[F.col(f"`{name}`") for name in df.columns if name not in unwanted])
 
 
-def align_schema(df: DataFrame, schema: T.StructType, missing: str | None = "") -> DataFrame:
+def align_schema(df: DataFrame, schema: T.StructType | str, missing: str | None = "") -> DataFrame:
     """The schema's columns in its order and types; an absent text column is filled with ``missing``."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     present = set(df.columns)
     columns = []
     for field in schema.fields:

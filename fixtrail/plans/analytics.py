@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,21 +202,29 @@ def _top_sum(df: DataFrame, count: str, name: str, limit: int) -> DataFrame:
     return df.orderBy(F.desc(count), name).limit(limit).agg(F.sum(count).alias("_sum"))
 
 
+def _top_sums(projects: DataFrame, limit: int) -> DataFrame:
+    """One row with the sum of the ``limit`` greatest values of each count.
+
+    The rank limit is applied in every task before the shuffle, so that a window
+    sees ``limit`` rows per task.
+    """
+    rows = projects.unpivot(["repo_url"], list(COUNTS), "kind", "amount")
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("amount"), "repo_url"))
+    top = rows.withColumn("_rank", rank).where(F.col("_rank") <= limit)
+    return top.agg(*[F.sum(F.when(F.col("kind") == count, F.col("amount"))).alias(count) for count in COUNTS])
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.round(part / F.nullif(whole, F.lit(0)) * 100, 6)
 
 
 def top_share(t: Tables, limit: int = 10) -> DataFrame:
     """A10: percent of advisories, commits, files and methods held by the top projects and the top weaknesses."""
-    projects = project_counts(t)
     weaknesses = weakness_summary(t)
 
     def scalar(df: DataFrame) -> Column:
         return df.scalar()
 
-    def project_top(count: str) -> Column:
-        return scalar(_top_sum(projects, count, "repo_url", limit))
-
     def total(table: str, value: Column) -> Column:
         return scalar(t[table].agg(value))
 
@@ -225,9 +233,7 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     spark = t["fixes"].sparkSession
     parts = spark.range(1).select(
         _top_sum(cve_cwe_per_project(t), "cve_count", "projects", limit).scalar().alias("_p_cve"),
-        project_top("commit_count").alias("_p_commit"),
-        project_top("file_count").alias("_p_file"),
-        project_top("method_count").alias("_p_method"),
+        scalar(_top_sums(project_counts(t), limit).select(F.struct(*COUNTS))).alias("_p"),
         weak.alias("_w"),
         total("cve", F.count_distinct("cve_id")).alias("_cve_ids"),
         total("cve", F.count("cve_id")).alias("_cves"),
@@ -241,9 +247,9 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     c = F.col
     return parts.select(
         _share(c("_p_cve"), c("_cve_ids")).alias("project_cve_percent"),
-        _share(c("_p_commit"), c("_linked")).alias("project_commit_percent"),
-        _share(c("_p_file"), c("_file_ids")).alias("project_file_percent"),
-        _share(c("_p_method"), c("_method_ids")).alias("project_method_percent"),
+        _share(c("_p.commit_count"), c("_linked")).alias("project_commit_percent"),
+        _share(c("_p.file_count"), c("_file_ids")).alias("project_file_percent"),
+        _share(c("_p.method_count"), c("_method_ids")).alias("project_method_percent"),
         _share(c("_w.cve_count"), c("_cves")).alias("cwe_cve_percent"),
         _share(c("_w.commit_count"), c("_commits")).alias("cwe_commit_percent"),
         _share(c("_w.file_count"), c("_files")).alias("cwe_file_percent"),

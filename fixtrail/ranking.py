@@ -33,8 +33,14 @@ def running_total(df: DataFrame, order: Sequence[Column | str], name: str,
         df.withColumn("_amount", amount.cast("bigint"))
         .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order)
     )
+    # A plain row number is the row's place in its sorted partition; other totals need a window.
+    numbered = not keys and weight is None
+    columns = {PART: F.spark_partition_id()}
+    if numbered:
+        ranged = ranged.sortWithinPartitions(*order)
+        columns["_local"] = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
     # Range bounds come from a sample, so both uses below must see one and the same layout.
-    placed = materialise(ranged.withColumn(PART, F.spark_partition_id()))
+    placed = materialise(ranged.withColumns(columns))
 
     local = Window.partitionBy(PART, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = (
@@ -51,7 +57,7 @@ def running_total(df: DataFrame, order: Sequence[Column | str], name: str,
     on = F.col(PART) == F.col("_o_part")
     for key in keys:
         on = on & F.col(key).eqNullSafe(F.col(f"_o_{key}"))
-    summed = placed.withColumn("_local", F.sum("_amount").over(local))
+    summed = placed if numbered else placed.withColumn("_local", F.sum("_amount").over(local))
     return (
         summed.join(F.broadcast(offsets), on, "left")
         .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))

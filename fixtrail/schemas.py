@@ -1,16 +1,9 @@
-"""The eight tables and the nested advisory feed as Spark types."""
+"""The eight tables and the nested advisory feed as Spark schema texts (DDL)."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 from .functions.diffs import PARSED_DIFF
 
-
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
 LANG_TEXT = "array<struct<lang:string,value:string>>"
 REFERENCES = "array<struct<url:string,name:string,refsource:string,tags:array<string>>>"
 PROBLEM_TYPES = f"array<struct<description:{LANG_TEXT}>>"
@@ -21,7 +14,7 @@ NODES = (
 )
 
 # Columns whose names are fixed values of the data model, in stored order.
-CVE = _schema(
+CVE = (
     "cve_id string, published_date timestamp, last_modified_date timestamp, "
     f"description {LANG_TEXT}, nodes {NODES}, severity string, "
     "obtain_all_privilege boolean, obtain_user_privilege boolean, obtain_other_privilege boolean, "
@@ -36,28 +29,28 @@ CVE = _schema(
     "exploitability_score double, impact_score double, ac_insuf_info boolean, "
     f"reference_json {REFERENCES}, problemtype_json {PROBLEM_TYPES}"
 )
-FIXES = _schema("cve_id string, hash string, repo_url string")
-COMMITS = _schema(
+FIXES = ("cve_id string, hash string, repo_url string")
+COMMITS = (
     "hash string, repo_url string, author string, author_date timestamp, author_timezone int, "
     "committer string, committer_date timestamp, committer_timezone int, msg string, merge boolean, "
     "parents array<string>, num_lines_added int, num_lines_deleted int, "
     "dmm_unit_complexity double, dmm_unit_interfacing double, dmm_unit_size double"
 )
-FILE_CHANGE = _schema(
+FILE_CHANGE = (
     "file_change_id bigint, hash string, filename string, old_path string, new_path string, "
     f"change_type string, diff string, diff_parsed {PARSED_DIFF}, num_lines_added int, num_lines_deleted int, "
     "code_after string, code_before string, nloc int, complexity int, token_count int, programming_language string"
 )
-METHOD_CHANGE = _schema(
+METHOD_CHANGE = (
     "method_change_id bigint, file_change_id bigint, name string, signature string, parameters array<string>, "
     "start_line int, end_line int, code string, nloc int, complexity int, token_count int, "
     "top_nesting_level int, before_change boolean"
 )
-CWE = _schema(
+CWE = (
     "cwe_id string, cwe_name string, description string, extended_description string, url string, is_category boolean"
 )
-CWE_CLASSIFICATION = _schema("cve_id string, cwe_id string")
-REPOSITORY = _schema(
+CWE_CLASSIFICATION = ("cve_id string, cwe_id string")
+REPOSITORY = (
     "repo_url string, repo_name string, description string, date_created timestamp, date_last_push timestamp, "
     "homepage string, repo_language string, owner string, forks_count int, stars_count int"
 )
@@ -88,7 +81,7 @@ FEED_ITEM = (
     "acInsufInfo:boolean,obtainAllPrivilege:boolean,obtainUserPrivilege:boolean,obtainOtherPrivilege:boolean,"
     "userInteractionRequired:boolean>>,publishedDate:string,lastModifiedDate:string>"
 )
-FEED = _schema(
+FEED = (
     "CVE_data_type string, CVE_data_format string, CVE_data_version string, CVE_data_numberOfCVEs string, "
     f"CVE_data_timestamp string, CVE_Items array<{FEED_ITEM}>"
 )
@@ -98,11 +91,11 @@ _METHOD = (
     "struct<name:string,long_name:string,parameters:array<string>,start_line:int,end_line:int,nloc:int,"
     "complexity:int,token_count:int,top_nesting_level:int>"
 )
-SNAPSHOT = _schema(
+SNAPSHOT = (
     "hash string, repo_url string, author struct<name:string,date:timestamp,timezone:int>, "
     "committer struct<name:string,date:timestamp,timezone:int>, msg string, merge boolean, parents array<string>, "
     "modified_files array<struct<filename:string,old_path:string,new_path:string,change_type:string,diff:string,"
     f"diff_parsed:{PARSED_DIFF},source_code:string,source_code_before:string,nloc:int,complexity:int,"
     f"token_count:int,methods:array<{_METHOD}>,methods_before:array<{_METHOD}>>>"
 )
-PROBE_LOG = _schema("url string, probed_at timestamp, status int, location string")
+PROBE_LOG = ("url string, probed_at timestamp, status int, location string")
