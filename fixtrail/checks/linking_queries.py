@@ -9,13 +9,13 @@ from ..operators import linking as L
 from .registry import register
 from .testbed import tables
 
-LINK = L.COMMIT_LINK
+LINK = r"((https?://(bitbucket|github|gitlab)\.(org|com)/[^/]+/[^/]*)/commits?/(\w+)#?)+"
 
 
 @register("l1_extract_fix_links", f"""
-    SELECT DISTINCT cve_id, regexp_extract(url, '{LINK}', 2) AS hash,
-           replace(regexp_extract(url, '{LINK}', 1), 'http:', 'https:') AS repo_url
-    FROM {{link_urls}} WHERE regexp_extract(url, '{LINK}', 2) <> ''""")
+    SELECT DISTINCT cve_id, regexp_extract(url, '{LINK}', 5) AS hash,
+           replace(regexp_extract(url, '{LINK}', 2), 'http:', 'https:') AS repo_url
+    FROM {{link_urls}} WHERE regexp_extract(url, '{LINK}', 5) <> ''""")
 def l1(spark, sf_dir):
     urls = tables(spark, sf_dir)["link_urls"]
     return L.extract_fix_links(urls.select("cve_id", F.array(F.struct("url")).alias("reference_json")))

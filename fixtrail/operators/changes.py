@@ -16,6 +16,9 @@ from .shaping import align_schema
 # Width of a bin of lines: one bit of a bigint per line.
 BIN = 64
 
+# Files with up to this many pairs of a changed line and a method are decided inside their row.
+PAIRS_IN_ROW = 20_000
+
 # What the method parser calls code that is no named function.
 ANONYMOUS = "(anonymous)"
 
@@ -61,52 +64,71 @@ def changed_methods(lines: DataFrame, spans: DataFrame, file: str = "file_change
 
 def parsed_lines(files: DataFrame) -> DataFrame:
     """Changed lines (file_change_id, before_change, line) of files with a parsed diff."""
-    entry = F.explode(F.concat(
-        F.transform("diff_parsed.added", lambda x: F.struct(F.lit(False).alias("before_change"), x.line.alias("line"))),
-        F.transform("diff_parsed.deleted", lambda x: F.struct(F.lit(True).alias("before_change"), x.line.alias("line"))),
-    ))
+    def side(lines: str, before: bool) -> Column:
+        numbers = F.transform(lines, lambda x: F.struct(F.lit(before).alias("before_change"), x.line.alias("line")))
+        return F.coalesce(numbers, F.array())
+
+    entry = F.explode(F.concat(side("diff_parsed.added", False), side("diff_parsed.deleted", True)))
     return files.select("file_change_id", entry.alias("_e")).select("file_change_id", "_e.before_change", "_e.line")
 
 
 def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
     """Method rows of files with nested ``methods`` and ``methods_before``.
 
-    Code is cut from the source inside the row, so a source text is never copied
-    per method. Anonymous functions and sides without source are left out.
+    Code is cut from the source inside the row, so a source text is neither copied
+    per method nor shuffled. Anonymous functions and sides without source are left
+    out. Whether a method was changed is also decided inside the row; only files
+    with very many lines and methods go through :func:`changed_methods`, on their
+    numbers alone.
     """
-    def kept(methods: str, source: str) -> Column:
-        return F.filter(methods, lambda m: (m["name"] != ANONYMOUS) & F.col(source).isNotNull())
+    def pairs(lines: str, methods: str) -> Column:
+        return F.coalesce(F.size(lines).cast("bigint") * F.size(methods), F.lit(0))
+
+    small = (
+        pairs("diff_parsed.added", "methods") + pairs("diff_parsed.deleted", "methods_before") <= PAIRS_IN_ROW
+    )
 
-    def side(methods: str, source: str, before: bool) -> Column:
-        def rows(lines: Column) -> Column:
-            return F.transform(kept(methods, source), lambda m: F.struct(
+    def kept(methods: str, source: str, lines: str) -> Column:
+        def changed(m: Column) -> Column:
+            return F.exists(lines, lambda x: x.line.between(m.start_line, m.end_line))
+
+        named = F.filter(methods, lambda m: (m["name"] != ANONYMOUS) & F.col(source).isNotNull())
+        return F.when(small, F.filter(named, changed)).otherwise(named) if changed_only else named
+
+    def side(methods: str, source: str, lines: str, before: bool) -> Column:
+        def rows(text: Column) -> Column:
+            return F.transform(kept(methods, source, lines), lambda m: F.struct(
                 m["name"].alias("name"), m.long_name.alias("signature"), m.parameters.alias("parameters"),
                 m.start_line.alias("start_line"), m.end_line.alias("end_line"),
-                slice_lines(lines, m.start_line, m.end_line).alias("code"),
+                slice_lines(text, m.start_line, m.end_line).alias("code"),
                 m.nloc.alias("nloc"), m.complexity.alias("complexity"), m.token_count.alias("token_count"),
                 m.top_nesting_level.alias("top_nesting_level"), F.lit(before).alias("before_change"),
             ))
 
         # The lambda's argument is the split source, computed once for all methods of the file.
-        bound = F.transform(F.array(F.split(source, "\n")), rows)
-        return F.coalesce(bound[0], F.array())
+        return F.coalesce(F.transform(F.array(F.split(source, "\n")), rows)[0], F.array())
 
-    def span(methods: str, source: str, before: bool) -> Column:
-        places = F.transform(kept(methods, source), lambda m: F.struct(
+    def span(methods: str, source: str, lines: str, before: bool) -> Column:
+        places = F.transform(kept(methods, source, lines), lambda m: F.struct(
             F.lit(before).alias("before_change"), m.start_line.alias("start_line"), m.end_line.alias("end_line")))
         return F.coalesce(places, F.array())
 
-    sides = (("methods_before", "source_code_before", True), ("methods", "source_code", False))
+    sides = (
+        ("methods_before", "source_code_before", "diff_parsed.deleted", True),
+        ("methods", "source_code", "diff_parsed.added", False),
+    )
 
-    def exploded(part: Callable[[str, str, bool], Column]) -> DataFrame:
+    def exploded(df: DataFrame, part: Callable[[str, str, str, bool], Column]) -> DataFrame:
         entries = F.explode(F.concat(*[part(*one) for one in sides])).alias("_m")
-        return files.select("file_change_id", entries).select("file_change_id", "_m.*")
+        return df.select("file_change_id", small.alias("_decided"), entries).select("file_change_id", "_decided", "_m.*")
 
-    methods = exploded(side)
+    methods = exploded(files, side)
     if changed_only:
-        hit = changed_methods(parsed_lines(files), exploded(span))
-        methods = methods.join(hit, ["file_change_id", "before_change", "start_line", "end_line"], "left_semi").select(
-            *methods.columns)
+        large = files.where(~small)
+        place = ["file_change_id", "before_change", "start_line", "end_line"]
+        hit = changed_methods(parsed_lines(large), exploded(large, span).drop("_decided"))
+        marked = methods.join(hit.select(*place, F.lit(True).alias("_hit")), place, "left")
+        methods = marked.where(F.col("_decided") | F.col("_hit"))
     return align_schema(methods.withColumn("method_change_id", surrogate_id(
         F.col("file_change_id").cast("string"), F.col("before_change").cast("string"), "name",
         F.col("start_line").cast("string"), F.col("end_line").cast("string"),

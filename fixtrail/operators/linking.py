@@ -11,8 +11,8 @@ from ..functions.paths import with_git_suffix
 from .shaping import distinct_on
 
 # Fixed value: address of a commit on one of three hosts. Of several addresses in a
-# row the last one counts. Group 1 is the repository, group 2 the commit.
-COMMIT_LINK = r"(?:(https?://(?:bitbucket|github|gitlab)\.(?:org|com)/[^/]+/[^/]*)/commits?/(\w+)#?)+"
+# row the last one counts; it is group 1.
+COMMIT_LINK = r"(?:(https?://(?:bitbucket|github|gitlab)\.(?:org|com)/[^/]+/[^/]*/commits?/\w+)#?)+"
 
 NO_INFO = "NVD-CWE-noinfo"
 
@@ -56,14 +56,14 @@ def extract_fix_links(cve: DataFrame, references: str = "reference_json") -> Dat
     """L1: distinct (cve_id, hash, repo_url) from the reference addresses of each advisory."""
     urls = cve.select("cve_id", F.explode(f"{references}.url").alias("url"))
     # Every match holds this text, and a plain search is cheaper than the pattern.
+    links = urls.where(F.contains("url", F.lit("/commit"))).select(
+        "cve_id", F.regexp_extract("url", COMMIT_LINK, 1).alias("link")
+    )
+    # Scheme, host, owner and project are the first five parts of an address.
+    repo = F.replace(F.substring_index("link", "/", 5), F.lit("http:"), F.lit("https:"))
     return (
-        urls.where(F.contains("url", F.lit("/commit")))
-        .select(
-            "cve_id",
-            F.regexp_extract("url", COMMIT_LINK, 2).alias("hash"),
-            F.replace(F.regexp_extract("url", COMMIT_LINK, 1), F.lit("http:"), F.lit("https:")).alias("repo_url"),
-        )
-        .where("hash <> ''")
+        links.where("link <> ''")
+        .select("cve_id", F.substring_index("link", "/", -1).alias("hash"), repo.alias("repo_url"))
         .distinct()
     )
 

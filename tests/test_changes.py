@@ -125,3 +125,25 @@ def test_parsed_diff_as_struct_and_as_json(spark):
     for df in (native, native.select(F.to_json("diff_parsed").alias("diff_parsed"))):
         row = D.parse_diff(df).first()
         assert [tuple(e) for e in row.diff_added] == [(3, "x")] and row.diff_deleted == []
+
+
+def test_large_files_take_the_other_way_to_the_same_rows(spark, monkeypatch, rows):
+    """Deciding inside the row and through the join give the same methods."""
+    rng = random.Random(9)
+    files = []
+    for i in range(12):
+        source = "\n".join(f"line {n}" for n in range(300))
+        methods = [(n, n, [], s, s + rng.randrange(40), 1, 1, 1, 0)
+                   for n, s in ((f"m{j}" if j % 5 else C.ANONYMOUS, rng.randrange(1, 280)) for j in range(20))]
+        lines = [(rng.randrange(1, 300), "x") for _ in range(4)]
+        files.append((i, source, source if i % 4 else None, methods, methods[:10], (lines, lines[:2] if i % 3 else None)))
+    method = ("array<struct<name:string,long_name:string,parameters:array<string>,start_line:int,end_line:int,nloc:int,"
+              "complexity:int,token_count:int,top_nesting_level:int>>")
+    line = "array<struct<line:int,text:string>>"
+    df = spark.createDataFrame(files, f"file_change_id bigint, source_code string, source_code_before string, methods {method}, "
+                                      f"methods_before {method}, diff_parsed struct<added:{line},deleted:{line}>")
+    inside = rows(C.method_rows(df))
+    monkeypatch.setattr(C, "PAIRS_IN_ROW", -1)
+    assert inside and rows(C.method_rows(df)) == inside
+    monkeypatch.setattr(C, "PAIRS_IN_ROW", 60)  # some each way
+    assert rows(C.method_rows(df)) == inside
