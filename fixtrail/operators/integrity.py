@@ -65,7 +65,7 @@ def prune(tables: Tables, keep_orphans: bool = False, first_git_mark: bool = Fal
     which all other tables depend on; use it when all eight are written.
     """
     commits = tables["commits"]
-    commits = commits.withColumn("repo_url", canonical_repo(F.col("repo_url"), first_git_mark)).distinct()
+    commits = commits.withColumn("repo_url", canonical_repo(F.col("repo_url"), first_git_mark))
     fixes = tables["fixes"]
     if resolve:
         fixes = resolve_short_hashes(fixes, commits)
@@ -73,7 +73,8 @@ def prune(tables: Tables, keep_orphans: bool = False, first_git_mark: bool = Fal
     if materialise_links:
         fixes = materialise(fixes)
     # The pruned fixes name loaded commits only, so they are the key set of both sides.
-    commits = keep_linked(commits, fixes, "hash")
+    # Rows are made distinct after the join by hash, whose layout serves that too.
+    commits = keep_linked(commits, fixes, "hash").distinct()
     textual = drop_non_textual(tables["file_change"])
     files = keep_linked(textual, fixes, "hash")
     methods = drop_unnamed(tables["method_change"])

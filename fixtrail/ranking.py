@@ -25,14 +25,11 @@ def running_total(df: DataFrame, order: Sequence[Column | str], name: str,
     ``order`` must be total within a group, else ties fall in any order. With
     ``weight`` unset every row counts 1, which makes ``name`` a row number.
     """
-    spark = df.sparkSession
     keys = list(group)
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     amount = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    ranged = (
-        df.withColumn("_amount", amount.cast("bigint"))
-        .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order)
-    )
+    # Without a number of partitions small neighbours are merged, which keeps their order.
+    ranged = df.withColumn("_amount", amount.cast("bigint")).repartitionByRange(*keys, *order)
     # A plain row number is the row's place in its sorted partition; other totals need a window.
     numbered = not keys and weight is None
     columns = {PART: F.spark_partition_id()}

@@ -20,13 +20,28 @@ def load_tables(spark: SparkSession, root: str, views: bool = False) -> dict[str
     return tables
 
 
-def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Write a Parquet folder (a target with a slash) or a catalogue table."""
-    writer = df.write.mode(mode).partitionBy(*partition_by)
+# Join keys of the stored tables; tables bucketed alike by a key join on it without a shuffle.
+BUCKET_KEYS = {
+    "fixes": "hash", "commits": "hash", "file_change": "hash", "method_change": "file_change_id",
+    "cve": "cve_id", "cwe_classification": "cve_id",
+}
+
+
+def write_table(df: DataFrame, target: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
+                buckets: int | None = None, bucket_by: str | None = None) -> None:
+    """Write a Parquet folder (a target with a slash) or a catalogue table, the latter bucketed on request.
+
+    One file per bucket needs the rows laid out by the key before they are written.
+    """
     if "/" in target:
-        writer.parquet(target)
+        df.write.mode(mode).partitionBy(*partition_by).parquet(target)
+        return
+    if buckets:
+        key = bucket_by or BUCKET_KEYS[target.rsplit(".", 1)[-1]]
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
     else:
-        writer.saveAsTable(target)
+        writer = df.write
+    writer.mode(mode).partitionBy(*partition_by).saveAsTable(target)
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:

@@ -10,9 +10,10 @@ from fixtrail.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("fixtrail-tests", master="local[8]", shuffle_partitions=8, **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.sql.maxMetadataStringLength": "5000", "spark.sql.debug.maxToStringFields": "200"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

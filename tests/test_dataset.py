@@ -201,6 +201,22 @@ def test_insert_if_absent_and_catalogue_tables(spark, tmp_path):
     assert not tables.table_exists(spark, "no_such_table")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("fixes", "commits"):
+        df = spark.range(200).select(F.col("id").cast("string").alias("hash"), F.lit(name).alias(f"{name}_v"))
+        tables.write_table(df, name, buckets=4)
+        assert tables.table_exists(spark, name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("fixes").join(spark.table("commits"), "hash")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("fixes", "commits"):
+            spark.sql(f"DROP TABLE {name}")
+
+
 def test_report_and_export(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2)], "k string, n int")
     tables.write_report(df, str(tmp_path / "r"), [F.desc("n")], limit=2)
