@@ -225,8 +225,8 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     def scalar(df: DataFrame) -> Column:
         return df.scalar()
 
-    def total(table: str, value: Column) -> Column:
-        return scalar(t[table].agg(value))
+    def sizes(table: str, key: str) -> Column:
+        return scalar(t[table].agg(F.struct(F.count_distinct(key).alias("ids"), F.count(key).alias("rows"))))
 
     top_weaknesses = weaknesses.orderBy(F.desc("cve_count"), "CWE").limit(limit)
     weak = scalar(top_weaknesses.agg(F.struct(*[F.sum(c).alias(c) for c in ("cve_count", *COUNTS)])))
@@ -235,25 +235,22 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
         _top_sum(cve_cwe_per_project(t), "cve_count", "projects", limit).scalar().alias("_p_cve"),
         scalar(_top_sums(project_counts(t), limit).select(F.struct(*COUNTS))).alias("_p"),
         weak.alias("_w"),
-        total("cve", F.count_distinct("cve_id")).alias("_cve_ids"),
-        total("cve", F.count("cve_id")).alias("_cves"),
-        scalar(commit_count(t).agg(F.sum("commit_count"))).alias("_linked"),
-        total("commits", F.count("*")).alias("_commits"),
-        total("file_change", F.count_distinct("file_change_id")).alias("_file_ids"),
-        total("file_change", F.count("file_change_id")).alias("_files"),
-        total("method_change", F.count_distinct("method_change_id")).alias("_method_ids"),
-        total("method_change", F.count("method_change_id")).alias("_methods"),
+        sizes("cve", "cve_id").alias("_cve"),
+        sizes("file_change", "file_change_id").alias("_file"),
+        sizes("method_change", "method_change_id").alias("_method"),
+        scalar(_links(t).agg(F.sum("links"))).alias("_linked"),
+        scalar(t["commits"].agg(F.count("*"))).alias("_commits"),
     )
     c = F.col
     return parts.select(
-        _share(c("_p_cve"), c("_cve_ids")).alias("project_cve_percent"),
+        _share(c("_p_cve"), c("_cve.ids")).alias("project_cve_percent"),
         _share(c("_p.commit_count"), c("_linked")).alias("project_commit_percent"),
-        _share(c("_p.file_count"), c("_file_ids")).alias("project_file_percent"),
-        _share(c("_p.method_count"), c("_method_ids")).alias("project_method_percent"),
-        _share(c("_w.cve_count"), c("_cves")).alias("cwe_cve_percent"),
+        _share(c("_p.file_count"), c("_file.ids")).alias("project_file_percent"),
+        _share(c("_p.method_count"), c("_method.ids")).alias("project_method_percent"),
+        _share(c("_w.cve_count"), c("_cve.rows")).alias("cwe_cve_percent"),
         _share(c("_w.commit_count"), c("_commits")).alias("cwe_commit_percent"),
-        _share(c("_w.file_count"), c("_files")).alias("cwe_file_percent"),
-        _share(c("_w.method_count"), c("_methods")).alias("cwe_method_percent"),
+        _share(c("_w.file_count"), c("_file.rows")).alias("cwe_file_percent"),
+        _share(c("_w.method_count"), c("_method.rows")).alias("cwe_method_percent"),
     )
 
 
