@@ -114,21 +114,26 @@ def join_changed_lines(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
     return lines.groupBy(*keys).agg(joined(False).alias("diff_added"), joined(True).alias("diff_deleted"))
 
 
-def pair_methods(methods: DataFrame, placed: bool = False) -> DataFrame:
+def pair_methods(methods: DataFrame, placed: bool = False, spread: bool = False) -> DataFrame:
     """(file_change_id, name, occurrence, ids and code before and after) of methods on both sides.
 
     The n-th method of a name before the change pairs with the n-th after it, by
     line. One shuffle serves the numbering and the pairing; ``placed`` says that
-    the methods are partitioned by file already.
+    the methods are partitioned by file already. ``spread`` numbers through range
+    partitions instead, for data where one name of one file has very many rows.
     """
     nth = Window.partitionBy("file_change_id", "name", "before_change").orderBy("start_line", "method_change_id")
     version = F.struct(F.col("method_change_id").alias("id"), F.col("code").alias("code"))
     narrow = methods.select("file_change_id", "name", "before_change", "start_line", "method_change_id", "code")
-    if not placed:
-        narrow = narrow.repartition("file_change_id", "name")
+    if spread:
+        numbered = running_total(
+            narrow, ["start_line", "method_change_id"], "occurrence", group=["file_change_id", "name", "before_change"]
+        ).withColumn("occurrence", F.col("occurrence").cast("int"))
+    else:
+        laid_out = narrow if placed else narrow.repartition("file_change_id", "name")
+        numbered = laid_out.withColumn("occurrence", F.row_number().over(nth))
     return (
-        narrow.withColumn("occurrence", F.row_number().over(nth))
-        .groupBy("file_change_id", "name", "occurrence")
+        numbered.groupBy("file_change_id", "name", "occurrence")
         .agg(
             F.max(F.when(F.col("before_change"), version)).alias("_b"),
             F.max(F.when(~F.col("before_change"), version)).alias("_a"),

@@ -157,3 +157,19 @@ def table_counts(tables: Tables) -> DataFrame:
         counted = tables[table].agg(F.count("*").alias("row_count"))
         rows = rows.unionByName(counted.withColumn("measure", F.lit(measure)))
     return rows
+
+
+def verify(tables: Tables) -> None:
+    """Raise ``ValueError`` if a primary key, the weakness reference or a count rule (P5-P7) does not hold."""
+    problems = {
+        "cve_id is not unique in cve": check_unique(tables["cve"], ["cve_id"]),
+        "cwe_id is not unique in cwe": check_unique(tables["cwe"], ["cwe_id"]),
+        "cwe_classification has repeated rows": check_unique(tables["cwe_classification"], ["cve_id", "cwe_id"]),
+        "cwe_classification names weaknesses that cwe lacks":
+            check_foreign_key(tables["cwe_classification"], tables["cwe"], "cwe_id"),
+        "count rules do not hold": check_counts(tables).where("NOT holds"),
+    }
+    # A few examples of each are enough for the message.
+    found = {problem: rows for problem, df in problems.items() if (rows := df.limit(5).collect())}
+    if found:
+        raise ValueError("; ".join(f"{problem}, such as {[tuple(row) for row in rows]}" for problem, rows in found.items()))

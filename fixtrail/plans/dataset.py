@@ -59,13 +59,18 @@ def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_lo
 
 
 def build_dataset(root: str, **sources) -> dict[str, DataFrame]:
-    """Collect, prune and write the eight tables below ``root``; returns them as read back."""
+    """Collect, prune and write the eight tables below ``root``; returns them as read back.
+
+    The written tables are checked; a broken key or count rule raises ``ValueError``.
+    """
     spark = sources["items"].sparkSession
     # The advisories feed several tables; parse them once.
     sources["items"] = materialise(sources["items"])
     pruned = integrity.prune(collect(**sources), materialise_links=True)
     tables.write_tables({name: pruned[name] for name in TABLES}, root)
-    return tables.load_tables(spark, root)
+    written = tables.load_tables(spark, root)
+    integrity.verify(written)
+    return written
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -76,12 +81,18 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--snapshots", required=True, help="commits with their files, JSON lines")
     parser.add_argument("--probe-log", help="answers of repository hosts, JSON lines")
     parser.add_argument("--repo-meta", help="repository metadata, JSON lines")
+    parser.add_argument("--language-samples", help="labelled texts (text, lang) for language labels, JSON lines")
+    parser.add_argument("--languages", nargs="+", default=[], help="the labels to tell apart")
     parser.add_argument("--sample-limit", type=int, help="number of fixes of a sample")
     parser.add_argument("--output", required=True, help="new folder for the tables")
     given = parser.parse_args(arguments)
 
     spark = build_session("fixtrail-dataset")
     read = spark.read
+    model = None
+    if given.language_samples:
+        samples = read.schema("text string, lang string").json(given.language_samples)
+        model = changes.train_language(samples, given.languages)
     build_dataset(
         given.output,
         items=feed.read_advisory_feed(spark, given.feed, lines=given.feed_lines),
@@ -90,6 +101,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         probe_log=read.schema(PROBE_LOG).json(given.probe_log) if given.probe_log else None,
         repo_meta=read.schema(REPOSITORY).json(given.repo_meta) if given.repo_meta else None,
         sample_limit=given.sample_limit,
+        language_model=model,
     )
 
 

@@ -106,6 +106,16 @@ def test_methods_pair_by_name_and_occurrence(spark, rows):
     assert rows(pairs) == [("b1", "a1"), ("b2", "a2"), ("c1", "c2")]
 
 
+def test_spread_pairing_gives_the_same_pairs(spark, rows):
+    """One name of one file holds most rows."""
+    methods = spark.range(400).select(
+        F.concat(F.lit("m"), "id").alias("method_change_id"), F.when(F.col("id") % 3 > 0, "hot").otherwise("f").alias("file_change_id"),
+        F.lit("x").alias("name"), (F.col("id") * 7 % 50).cast("int").alias("start_line"),
+        (F.col("id") % 5 < 2).alias("before_change"), F.concat(F.lit("code"), "id").alias("code"))
+    pairs = rows(D.pair_methods(methods))
+    assert len(pairs) > 100 and rows(D.pair_methods(methods, spread=True)) == pairs
+
+
 def test_adjacent_rows_pair_by_position(spark, rows):
     pairs = D.pair_adjacent(versions(spark), ["file_change_id", "before_change", "method_change_id"], ["before_change"])
     # b1-b2 share file and name, b3-a1 and a2-c1 do not, c2 is left over.

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fixtrail.operators import linking, shaping
+from fixtrail.operators import integrity, linking, shaping
 from fixtrail.plans import dataset
 from fixtrail.schemas import FEED, SNAPSHOT, TABLES
 from fixtrail.sources import feed, tables, weaknesses
@@ -157,6 +157,42 @@ def test_whole_job(spark, inputs):
     assert [r.hash for r in again["commits"].collect()] == ["unlinked"]
 
 
+def test_job_from_the_command_line(spark, inputs):
+    (inputs / "meta.json").write_text(json.dumps({"repo_url": BOTTLE, "repo_name": "bottlepy/bottle", "owner": "bottlepy"}))
+    (inputs / "probes.json").write_text(json.dumps(
+        {"url": MAILER, "probed_at": "2024-01-01T00:00:00Z", "status": 404, "location": None}))
+    (inputs / "samples.json").write_text("\n".join(json.dumps(s) for s in (
+        {"text": "a\nB\nc\nd", "lang": "letters"}, {"text": "12345678", "lang": "digits"})))
+    dataset.main([
+        "--feed", str(inputs / "feed" / "0.json"), str(inputs / "feed" / "1.json"), "--catalog", str(inputs / "catalog.xml"),
+        "--snapshots", str(inputs / "snapshots.json"), "--repo-meta", str(inputs / "meta.json"),
+        "--probe-log", str(inputs / "probes.json"), "--language-samples", str(inputs / "samples.json"),
+        "--languages", "letters", "digits", "--output", str(inputs / "out")])
+    got = {name: table.collect() for name, table in tables.load_tables(spark, str(inputs / "out"), views=True).items()}
+    assert [(r.repo_url, r.repo_name, r.owner) for r in got["repository"]] == [(BOTTLE, "bottlepy/bottle", "bottlepy")]
+    assert sorted(r.hash for r in got["commits"]) == ["6d7e13da0f99", "e140e1b538"]
+    assert [(r.filename, r.programming_language) for r in got["file_change"]] == [("m.py", "letters")]
+    assert spark.sql("SELECT count(*) AS n FROM method_change").first().n == 2
+    for name in TABLES:
+        spark.catalog.dropTempView(name)
+
+
+def test_broken_keys_are_reported(spark):
+    make = spark.createDataFrame
+    broken = {
+        "cve": make([("c",), ("c",)], "cve_id string"), "fixes": make([("c", "h", "r")], "cve_id string, hash string, repo_url string"),
+        "commits": make([("h", "r")], "hash string, repo_url string"),
+        "file_change": make([], "file_change_id string, hash string, num_lines_added int, num_lines_deleted int"),
+        "method_change": make([], "method_change_id string, file_change_id string"),
+        "cwe": make([("w",)], "cwe_id string"), "cwe_classification": make([("c", "v")], "cve_id string, cwe_id string"),
+        "repository": make([("r",)], "repo_url string"),
+    }
+    with pytest.raises(ValueError) as error:
+        integrity.verify(broken)
+    message = str(error.value)
+    assert "cve_id is not unique" in message and "cwe lacks" in message and "count rules" not in message
+
+
 def test_incremental_ingest_restarts_without_gaps_or_repeats(spark, tmp_path):
     schema = "cve_id string, at timestamp"
     inbox = tmp_path / "in"
