@@ -64,8 +64,9 @@ def i1(spark, sf_dir):
     folder = scratch_path(spark, "feed")
     _feed(tables(spark, sf_dir)["part"]).write.json(folder)
     cve = feed.advisories(feed.read_advisory_feed(spark, folder, lines=True))
+    published = F.to_utc_timestamp("published_date", F.current_timezone())  # whatever the session's zone
     return cve.select(
-        "cve_id", F.date_format("published_date", "yyyy-MM-dd HH:mm").alias("published"), "severity",
+        "cve_id", F.date_format(published, "yyyy-MM-dd HH:mm").alias("published"), "severity",
         "user_interaction_required", "cvss2_base_score", "cvss3_base_score", "cvss3_attack_complexity",
         "exploitability_score", "impact_score", F.col("reference_json")[0]["url"].alias("url"),
         F.col("problemtype_json")[0]["description"][0]["value"].alias("weakness"),

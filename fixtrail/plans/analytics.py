@@ -326,7 +326,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFra
         .groupBy("measure", "value").agg(F.count("*").alias("_n"))
     )
     summed = running_total(values, ["value"], "_upto", group=["measure"], weight="_n")
-    totals = values.groupBy("measure").agg(F.sum("_n").alias("_total"))
+    # All further steps read the folded, materialised values, not the source again.
+    totals = summed.groupBy("measure").agg(F.sum("_n").alias("_total"))
     placed = summed.join(F.broadcast(totals), "measure")  # one row per measure
 
     def at(rank: Column) -> Column:
@@ -345,7 +346,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFra
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
-    whole = values.join(F.broadcast(boxes), "measure")  # one row per measure
+    whole = summed.join(F.broadcast(boxes), "measure")  # one row per measure
     return whole.groupBy("measure", "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
