@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_counts
+from . import bpe_words, token_counts
 from .common import table
 from .registry import ORACLES, QUERIES, register
 
@@ -21,6 +21,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@register("op9_bpe_words")
+def op9_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_words.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def load() -> tuple[dict, dict]:
     """(queries, oracles) by name."""
     return dict(QUERIES), dict(ORACLES)
