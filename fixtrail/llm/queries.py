@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_words, fair_mix, token_counts
+from . import bpe_words, fair_mix, stream_dedup, token_counts
 from .common import table
 from .registry import ORACLES, QUERIES, register
 
@@ -21,6 +21,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@register("op4_stream_dedup", stream_dedup.SQL)
+def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.dedup_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op6_fair_mix", fair_mix.SQL)
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix_documents(table(spark, sf_dir, "documents"))
