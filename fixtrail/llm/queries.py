@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_words, fair_mix, stream_dedup, token_counts
+from . import bpe_words, fair_mix, license_scan, spotsigs, stream_dedup, token_counts
 from .common import table
 from .registry import ORACLES, QUERIES, register
 
@@ -16,6 +16,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_spotsigs")
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_edits(table(spark, sf_dir, "documents"))
+
+
+@register("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @register("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
