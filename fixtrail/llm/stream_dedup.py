@@ -33,7 +33,9 @@ STATE_SETTINGS = {
     # All of an executor's stores share one bounded block cache and write buffer.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-    # The operator before the state needs no row per partition of an empty input.
+    # Many small stores would each hold some MB of files allocated ahead.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # A batch without new rows would change nothing.
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
