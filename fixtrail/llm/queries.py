@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_words, fair_mix, license_scan, spotsigs, stream_dedup, token_counts
+from . import (
+    bpe_words, fair_mix, license_scan, ordinal_toxicity, quality_neighbours, spotsigs, stream_dedup, token_counts,
+)
 from .common import table
 from .registry import ORACLES, QUERIES, register
 
@@ -46,6 +49,25 @@ def op9_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_words.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@register("op8_ordinal_toxicity")
+def op8_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal_toxicity.grade(docs, ordinal_toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def fold(doc_id: Column) -> Column:
+    """crc32 of the id as text, modulo 5; 0 is held out."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5
+
+
+@register("op10_quality_neighbours")
+def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_neighbours.fit(docs, labels.where(fold(F.col("doc_id")) != 0))
+    return quality_neighbours.score_documents(docs, model).select(
+        "doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def load() -> tuple[dict, dict]:
     """(queries, oracles) by name."""
     return dict(QUERIES), dict(ORACLES)
