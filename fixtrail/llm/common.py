@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def byte_sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``; a longer row is a batch of its own."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for at, size in enumerate(sizes):
             if at > start and total + size > limit:
