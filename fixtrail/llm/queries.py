@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe_words, fair_mix, license_scan, ordinal_toxicity, quality_neighbours, spotsigs, stream_dedup, token_counts,
+    bpe_words, fair_mix, grouped_prefix_join, license_scan, ordinal_toxicity, quality_neighbours, spotsigs,
+    stream_dedup, token_counts,
 )
 from .common import table
 from .registry import ORACLES, QUERIES, register
@@ -39,6 +40,11 @@ def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.dedup_documents(table(spark, sf_dir, "documents"))
 
 
+@register("op5_grouped_prefix_join")
+def op5_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_prefix_join.join_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @register("op6_fair_mix", fair_mix.SQL)
 def op6_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix_documents(table(spark, sf_dir, "documents"))
