@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe_words, fair_mix, grouped_prefix_join, license_scan, ordinal_toxicity, quality_neighbours, spotsigs,
-    stream_dedup, token_counts,
+    stream_dedup, token_counts, warc_derivatives,
 )
 from .common import table
 from .registry import ORACLES, QUERIES, register
@@ -55,6 +55,11 @@ def op9_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_words.encode_decode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@register("op7_warc_derivatives", warc_derivatives.SQL)
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derivatives.derivatives(warc_derivatives.responses(table(spark, sf_dir, "pages")))
+
+
 @register("op8_ordinal_toxicity")
 def op8_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
