@@ -15,7 +15,7 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..ranking import running_total
@@ -113,6 +113,23 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
                            .alias("source"), word_count().alias("size")), **options)
 
 
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with their columns."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.select("*", F.col("doc_id").cast("bigint").alias("__id"), F.col("source").cast("string").alias("__from"),
+                      word_count().alias("__size"))
+    taken = mix(own.select(F.col("__id").alias("doc_id"), F.col("__from").alias("source"), F.col("__size").alias("size")),
+                **options)
+    # Rows alike in id, source and size, one as a rule, share out their passes in order.
+    key = ["__id", "__from", "__size"]
+    passes = taken.groupBy(*(F.col(c).alias(f"{k}_2") for c, k in zip(("doc_id", "source", "size"), key))).agg(
+        F.sort_array(F.collect_list("passes")).alias("__passes"))
+    numbered = own.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy("text")))
+    on = [F.col(k).eqNullSafe(F.col(f"{k}_2")) for k in key]
+    return numbered.join(passes, on).select(*names, F.explode(
+        F.array_repeat(F.lit(0), F.element_at("__passes", F.col("__n")))).alias("__pass")).drop("__pass")
+
+
 # The same in SQL: limits that are reached are those of the sources with the least limit per unit of weight.
 SQL = r"""
 WITH sized AS (

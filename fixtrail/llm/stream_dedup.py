@@ -152,11 +152,15 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows that stay, with the columns of ``docs``. Of rows that repeat both identifier and text one stays."""
     kept = dedup_documents(docs).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")).distinct()
-    keyed = docs.select("*", F.col("doc_id").cast("bigint").alias("_id"),
-                        sha256_of(normalised(whole_text())).alias("_digest"))
-    on = keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_digest"] == kept["_digest"])
-    return keyed.join(kept, on, "left_semi").dropDuplicates(["_id", "_digest"]).drop("_id", "_digest")
+        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_digest")).distinct()
+    keyed = docs.select("*", F.col("doc_id").cast("bigint").alias("__own_id"),
+                        sha256_of(normalised(whole_text())).alias("__own_digest"))
+    on = F.col("__own_id").eqNullSafe(F.col("__kept_id")) & (F.col("__own_digest") == F.col("__kept_digest"))
+    return keyed.join(kept, on, "left_semi").dropDuplicates(["__own_id", "__own_digest"]).select(*_names(docs))
+
+
+def _names(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 SQL = r"""
