@@ -24,6 +24,7 @@ import hashlib
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,24 +100,34 @@ def split(docs: DataFrame, vocabulary: str, block_bytes: int, words: bool) -> Da
 
 
 def _block(ids: list, coded: list[np.ndarray], known: dict[str, int], place: tuple, words: bool) -> pa.RecordBatch:
+    """The row of a block. Words are numbered by how often the block has them, so that most numbers are small."""
+    flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
+    ranked = np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")
     found = list(known)
+    found = [found[n] for n in ranked.tolist()]
     key = xxhash.xxh3_64_intdigest("\x00".join([repr(place), *found]).encode()) - (1 << 63)
-    numbers = listed = None
-    if words:
-        listed = found
-    else:
+    numbers = lengths = None
+    if not words:
+        number = np.empty(len(ranked), np.uint32)
+        number[ranked] = np.arange(len(ranked))
         # Low bytes, then middle ones, then high ones: runs of like values compress.
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        planes = flat.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-        numbers = zstandard.ZstdCompressor(level=3).compress(planes)
-    lengths = None if words else [len(x) for x in coded]
+        numbers = _packed(number[flat].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+        lengths = [len(x) for x in coded]
     return pa.RecordBatch.from_arrays([
         pa.array([key], pa.int64()), pa.array([None if words else ids], pa.list_(pa.int64())),
         pa.array([lengths], pa.list_(pa.int32())), pa.array([numbers], pa.binary()), pa.array([len(found)], pa.int32()),
-        pa.array([listed], pa.list_(pa.string()))],
+        pa.array([found if words else None], pa.list_(pa.string()))],
         ["block", "doc_ids", "lengths", "numbers", "n_words", "words"])
 
 
+def _packed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _unpacked(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def piece_table(spark: SparkSession, vocabulary: str) -> DataFrame:
     """``id, piece``: the bytes that each id of the vocabulary stands for (its size bounds the table)."""
     with open(vocabulary, encoding="utf-8") as file:
@@ -165,12 +176,13 @@ def encode_runs(places: DataFrame, vocabulary: str) -> DataFrame:
         encode, "ids array<int>, blocks array<bigint>, numbers array<int>")
 
 
-def decode_by_join(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """``ids`` as decimal numbers joined by commas, ``decoded`` bytes and the places of each row of ``encode_runs``.
+def decode_by_join(encoded: DataFrame, vocabulary: str, room: int = 300_000) -> DataFrame:
+    """``block, numbers, ids, pieces, sizes``: what encoding and decoding gives for words of a block, packed.
 
     One row per id meets the table of pieces in a broadcast join (the vocabulary's size bounds it). Neither
     step moves or reorders rows, so a word's pieces follow one another and are put together without a shuffle; each
-    row carries how many there are, and a gap raises.
+    row carries how many there are, and a gap raises. About ``room`` places at a time are gathered by block, so that a
+    block gets few rows from each task. ``ids`` are decimal numbers joined by commas, ``pieces`` the decoded bytes.
     """
     first = F.col("at") == 0
     parts = (
@@ -181,10 +193,11 @@ def decode_by_join(encoded: DataFrame, vocabulary: str) -> DataFrame:
     )
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[tuple] = []
+        by_block: dict[int, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
         ids: list[str] = []
         pieces: list[bytes] = []
         blocks = numbers = None
+        held = 0
         for batch in batches:
             row = zip(*(batch.column(c).to_pylist() for c in ("at", "id", "piece", "wanted", "blocks", "numbers")))
             for at, number, piece, wanted, its_blocks, its_numbers in row:
@@ -195,62 +208,68 @@ def decode_by_join(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 ids.append(str(number))
                 pieces.append(piece)
                 if at + 1 == wanted:
-                    done.append((",".join(ids), b"".join(pieces), blocks, numbers))
+                    joined, decoded = ",".join(ids), b"".join(pieces)
+                    for block, place in zip(blocks, numbers):
+                        for column, value in zip(by_block[block], (place, joined, decoded)):
+                            column.append(value)
+                    held += len(blocks)
                     ids, pieces = [], []
-            yield _words(done)
-            done = []
+            if held >= room:
+                yield _gathered(by_block)
+                by_block.clear()
+                held = 0
         if ids:
             raise ValueError("the pieces of a word are not whole")
+        yield _gathered(by_block)
 
-    return parts.mapInArrow(together, "ids string, decoded binary, blocks array<bigint>, numbers array<int>")
+    return parts.mapInArrow(together, "block bigint, numbers binary, ids binary, pieces binary, sizes binary")
 
 
-def _words(done: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*done)) or [(), (), (), ()]
-    kinds = (pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                      ["ids", "decoded", "blocks", "numbers"])
+def _gathered(by_block: dict[int, tuple[list, list, list]]) -> pa.RecordBatch:
+    rows = [(block, _packed(np.array(numbers, "<u4").tobytes()), _packed(" ".join(ids).encode()),
+             _packed(b"".join(pieces)), _packed(np.array([len(p) for p in pieces], "<u4").tobytes()))
+            for block, (numbers, ids, pieces) in by_block.items()]
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, [pa.int64()] + [pa.binary()] * 4)],
+        ["block", "numbers", "ids", "pieces", "sizes"])
 
 
-def encode_decode(docs: DataFrame, vocabulary: str, block_bytes: int = 16 << 20) -> DataFrame:
+def encode_decode(docs: DataFrame, vocabulary: str, block_bytes: int = 32 << 20) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
     places = (
         split(docs, vocabulary, block_bytes, words=True)
         .select("block", F.posexplode("words").alias("number", "word"))
     )
-    known = (
-        decode_by_join(encode_runs(places, vocabulary), vocabulary)
-        .select("ids", "decoded", F.explode(F.arrays_zip("blocks", "numbers")).alias("place"))
-        .select(F.col("place.blocks").alias("block"), F.col("place.numbers").alias("number"), "ids", "decoded")
-    )
+    known = decode_by_join(encode_runs(places, vocabulary), vocabulary)
     blocks = split(docs, vocabulary, block_bytes, words=False).drop("words")
 
     def joined(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids: list = []
-        counts: list = []
-        encoded: list = []
-        decoded: list = []
-        order = np.argsort(right.column("number").to_numpy(), kind="stable")
-        joined_ids = [x.encode() for x in right.column("ids").take(pa.array(order)).to_pylist()]
-        pieces = right.column("decoded").take(pa.array(order)).to_pylist()
-        for row in range(left.num_rows):
-            if left.column("n_words")[row].as_py() != len(joined_ids):
-                raise ValueError("the words of a block were read differently the second time")
-            planes = np.frombuffer(
-                zstandard.ZstdDecompressor().decompress(left.column("numbers")[row].as_py()), np.uint8)
-            flat = planes.reshape(4, -1).T.copy().view("<u4").ravel()
-            sizes = np.fromiter((x.count(b",") + 1 for x in joined_ids), np.int64, len(joined_ids))
-            start = 0
-            for length in left.column("lengths")[row].as_py():
-                part = flat[start:start + length]
-                start += length
-                listed = part.tolist()
-                counts.append(int(sizes[part].sum()))
-                encoded.append(hashlib.sha256(b",".join([joined_ids[n] for n in listed])).hexdigest())
-                decoded.append(hashlib.sha256(_text(b"".join([pieces[n] for n in listed]))).hexdigest())
-            ids += left.column("doc_ids")[row].as_py()
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(counts, pa.int64()),
-                         "ids_sha256": pa.array(encoded, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())})
+        count = left.column("n_words")[0].as_py() if left.num_rows else 0
+        joined_ids: list = [None] * count
+        pieces: list = [None] * count
+        for row in right.to_pylist():
+            starts = [0, *np.cumsum(np.frombuffer(_unpacked(row["sizes"]), "<u4"), dtype=np.int64).tolist()]
+            raw = _unpacked(row["pieces"])
+            listed = zip(np.frombuffer(_unpacked(row["numbers"]), "<u4").tolist(), _unpacked(row["ids"]).split(b" "))
+            for at, (number, its_ids) in enumerate(listed):
+                joined_ids[number], pieces[number] = its_ids, raw[starts[at]:starts[at + 1]]
+        if left.num_rows != 1 or None in joined_ids:
+            raise ValueError("the words of a block were read differently the second time")
+        sizes = np.fromiter((x.count(b",") + 1 for x in joined_ids), np.int64, count)
+        planes = np.frombuffer(_unpacked(left.column("numbers")[0].as_py()), np.uint8)
+        flat = planes.reshape(4, -1).T.copy().view("<u4").ravel()
+        rows, start = [], 0
+        for doc_id, length in zip(left.column("doc_ids")[0].as_py(), left.column("lengths")[0].as_py()):
+            part = flat[start:start + length]
+            start += length
+            listed = part.tolist()
+            rows.append((doc_id, int(sizes[part].sum()),
+                         hashlib.sha256(b",".join([joined_ids[n] for n in listed])).hexdigest(),
+                         hashlib.sha256(_text(b"".join([pieces[n] for n in listed]))).hexdigest()))
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.table({part.split()[0]: pa.array(c, k)
+                         for part, c, k in zip(RESULT_SCHEMA.split(", "), zip(*rows), kinds)})
 
     return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(joined, RESULT_SCHEMA)
 
