@@ -115,14 +115,18 @@ def d6_grouped(spark, sf_dir):
     return D.join_changed_lines(D.line_diff(_pairs(spark, sf_dir), ["pair"]), ["pair"])
 
 
+# One pass: methods are numbered once, then both sides of a number meet in one group.
 PAIRED = """
-    oc AS (SELECT file_change_id, name, before_change, method_change_id, code, row_number() OVER (
+    oc AS MATERIALIZED (SELECT file_change_id, name, before_change, method_change_id, code, row_number() OVER (
                PARTITION BY file_change_id, name, before_change ORDER BY start_line, method_change_id) AS occurrence
            FROM %s),
-    pa AS (SELECT b.file_change_id, b.name, CAST(b.occurrence AS INT) AS occurrence, b.method_change_id AS before_id,
-                  a.method_change_id AS after_id, b.code AS code_before, a.code AS code_after
-           FROM (SELECT * FROM oc WHERE before_change) b JOIN (SELECT * FROM oc WHERE NOT before_change) a
-           ON a.file_change_id = b.file_change_id AND a.name = b.name AND a.occurrence = b.occurrence)"""
+    pa AS (SELECT file_change_id, name, CAST(occurrence AS INT) AS occurrence,
+                  max(method_change_id) FILTER (WHERE before_change) AS before_id,
+                  max(method_change_id) FILTER (WHERE NOT before_change) AS after_id,
+                  max(code) FILTER (WHERE before_change) AS code_before,
+                  max(code) FILTER (WHERE NOT before_change) AS code_after
+           FROM oc GROUP BY file_change_id, name, occurrence
+           HAVING count(*) FILTER (WHERE before_change) > 0 AND count(*) FILTER (WHERE NOT before_change) > 0)"""
 
 
 @register("d7_pair_methods", f"WITH {PAIRED % '{method_change}'} SELECT * FROM pa")

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 # The characters Python's str.strip() takes for blanks.
 BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Texts that stand for a missing value in stored tables.
@@ -51,30 +50,33 @@ def stored_number(text: Column) -> Column:
     return F.when(text.isNotNull(), F.coalesce(decode(text).try_cast("double"), F.lit(0.0)))
 
 
-def snake_name(name: str) -> str:
-    """S2 on a column name: leaf of a dotted path in snake case, with the feed's suffixes normalised."""
-    leaf = name.split(".", 2)[-1].replace(".", "_")
-    return _feed_suffixes(re.sub(r"(?<=.)([A-Z])", r"_\1", leaf).lower())
-
+# What becomes of parts of a column's name, applied in this order.
+NAME_RULES = ((r"\bcvss_v(?=\d)", "cvss"), (r"_data(?=_|$)", "_json"), (r"\bdescription_json\b", "description"))
 
-# Renamings of name parts, applied in this order.
-NAME_PARTS = (("cvss_v", "cvss"), ("_data", "_json"), ("description_json", "description"))
 
+def snake_name(name: str) -> str:
+    """S2 on a column name: what follows the second part of a dotted path, its words in small letters, then the rules.
 
-def _feed_suffixes(name: str) -> str:
-    for old, new in NAME_PARTS:
-        name = name.replace(old, new)
-    return name
+    Every capital starts a word.
+    """
+    parts = name.split(".")
+    words = [word for part in parts[2:] or parts[-1:] for word in re.findall("[A-Z]?[^A-Z]*", part) if word]
+    snake = "_".join(words).lower()
+    for pattern, by in NAME_RULES:
+        snake = re.sub(pattern, by, snake)
+    return snake
 
 
 def snake_column(name: Column) -> Column:
     """S2 as an expression over a column of names."""
-    dots = F.split(name, r"\.", 3)
-    leaf = F.translate(F.element_at(dots, -1), ".", "_")
-    value = F.lower(F.regexp_replace(leaf, r"(?<!^)(?=[A-Z])", "_"))
-    for old, new in NAME_PARTS:
-        value = F.replace(value, F.lit(old), F.lit(new))
-    return value
+    parts = F.split(name, r"\.")
+    leaf = F.when(F.size(parts) > 2, F.slice(parts, 3, F.greatest(F.size(parts) - 2, F.lit(0)))).otherwise(
+        F.slice(parts, -1, 1))
+    words = F.flatten(F.transform(leaf, lambda p: F.regexp_extract_all(p, F.lit("([A-Z]?[^A-Z]*)"), F.lit(1))))
+    snake = F.lower(F.array_join(F.filter(words, lambda w: w != ""), "_"))
+    for pattern, by in NAME_RULES:
+        snake = F.regexp_replace(snake, pattern, by)
+    return snake
 
 
 def short_number(number: Column) -> Column:

@@ -16,9 +16,6 @@ from .shaping import align_schema
 # Width of a bin of lines: one bit of a bigint per line.
 BIN = 64
 
-# Files with up to this many pairs of a changed line and a method are decided inside their row.
-PAIRS_IN_ROW = 20_000
-
 # What the method parser calls code that is no named function.
 ANONYMOUS = "(anonymous)"
 
@@ -62,42 +59,56 @@ def changed_methods(lines: DataFrame, spans: DataFrame, file: str = "file_change
     return hit.select(*spans.columns).distinct()
 
 
-def parsed_lines(files: DataFrame) -> DataFrame:
-    """Changed lines (file_change_id, before_change, line) of files with a parsed diff."""
-    def side(lines: str, before: bool) -> Column:
-        numbers = F.transform(lines, lambda x: F.struct(F.lit(before).alias("before_change"), x.line.alias("line")))
-        return F.coalesce(numbers, F.array())
+def _touched() -> Callable[[Column, Column, Column], Column]:
+    """Arrow function (lines, starts, ends) → for each span whether it holds one of the lines."""
+    @F.arrow_udf("array<boolean>")
+    def touched(lines: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+        rows = []
+        for changed, first, last in zip(lines, starts, ends):
+            if first.as_py() is None:
+                rows.append(None)
+                continue
+            known = np.sort(np.array([x for x in changed.as_py() or () if x is not None], np.int64))
+            missing = [a is None or b is None for a, b in zip(first.as_py(), last.as_py())]
+            low, high = (np.array([0 if x is None else x for x in side.as_py()], np.int64) for side in (first, last))
+            # The first changed line from the start on must not lie behind the end.
+            hit = np.searchsorted(known, low, "left") < np.searchsorted(known, high, "right")
+            rows.append((hit & ~np.array(missing, bool)).tolist())
+        return pa.array(rows, pa.list_(pa.bool_()))
 
-    entry = F.explode(F.concat(side("diff_parsed.added", False), side("diff_parsed.deleted", True)))
-    return files.select("file_change_id", entry.alias("_e")).select("file_change_id", "_e.before_change", "_e.line")
+    return touched
 
 
 def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
     """Method rows of files with nested ``methods`` and ``methods_before``.
 
-    Code is cut from the source inside the row, so a source text is neither copied
-    per method nor shuffled. Anonymous functions and sides without source are left
-    out. Whether a method was changed is also decided inside the row; only files
-    with very many lines and methods go through :func:`changed_methods`, on their
-    numbers alone.
+    Whether a method was changed is decided inside the file's row, in one way for files of any size: changed lines are
+    sorted and each span is looked up among them. Only the numbers go to that function; code is cut from the source
+    afterwards, for the methods that stay, so a source text is neither copied per method nor shuffled. Anonymous
+    functions and sides without source are left out.
     """
-    def pairs(lines: str, methods: str) -> Column:
-        return F.coalesce(F.size(lines).cast("bigint") * F.size(methods), F.lit(0))
-
-    small = (
-        pairs("diff_parsed.added", "methods") + pairs("diff_parsed.deleted", "methods_before") <= PAIRS_IN_ROW
+    touched = _touched()
+    sides = (
+        ("methods_before", "source_code_before", "diff_parsed.deleted", True),
+        ("methods", "source_code", "diff_parsed.added", False),
     )
+    numbers = lambda column, field: F.transform(column, lambda x: x[field].cast("bigint"))
+    if changed_only:
+        files = files.withColumns({
+            f"_hit_{methods}": touched(numbers(lines, "line"), numbers(methods, "start_line"),
+                                       numbers(methods, "end_line"))
+            for methods, _, lines, _ in sides})
 
-    def kept(methods: str, source: str, lines: str) -> Column:
-        def changed(m: Column) -> Column:
-            return F.exists(lines, lambda x: x.line.between(m.start_line, m.end_line))
+    def kept(methods: str, source: str) -> Column:
+        def wanted(m: Column, at: Column) -> Column:
+            named = (m["name"] != ANONYMOUS) & F.col(source).isNotNull()
+            return named & F.get(f"_hit_{methods}", at) if changed_only else named
 
-        named = F.filter(methods, lambda m: (m["name"] != ANONYMOUS) & F.col(source).isNotNull())
-        return F.when(small, F.filter(named, changed)).otherwise(named) if changed_only else named
+        return F.filter(methods, wanted)
 
     def side(methods: str, source: str, lines: str, before: bool) -> Column:
         def rows(text: Column) -> Column:
-            return F.transform(kept(methods, source, lines), lambda m: F.struct(
+            return F.transform(kept(methods, source), lambda m: F.struct(
                 m["name"].alias("name"), m.long_name.alias("signature"), m.parameters.alias("parameters"),
                 m.start_line.alias("start_line"), m.end_line.alias("end_line"),
                 slice_lines(text, m.start_line, m.end_line).alias("code"),
@@ -108,27 +119,8 @@ def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
         # The lambda's argument is the split source, computed once for all methods of the file.
         return F.coalesce(F.transform(F.array(F.split(source, "\n")), rows)[0], F.array())
 
-    def span(methods: str, source: str, lines: str, before: bool) -> Column:
-        places = F.transform(kept(methods, source, lines), lambda m: F.struct(
-            F.lit(before).alias("before_change"), m.start_line.alias("start_line"), m.end_line.alias("end_line")))
-        return F.coalesce(places, F.array())
-
-    sides = (
-        ("methods_before", "source_code_before", "diff_parsed.deleted", True),
-        ("methods", "source_code", "diff_parsed.added", False),
-    )
-
-    def exploded(df: DataFrame, part: Callable[[str, str, str, bool], Column]) -> DataFrame:
-        entries = F.explode(F.concat(*[part(*one) for one in sides])).alias("_m")
-        return df.select("file_change_id", small.alias("_decided"), entries).select("file_change_id", "_decided", "_m.*")
-
-    methods = exploded(files, side)
-    if changed_only:
-        large = files.where(~small)
-        place = ["file_change_id", "before_change", "start_line", "end_line"]
-        hit = changed_methods(parsed_lines(large), exploded(large, span).drop("_decided"))
-        marked = methods.join(hit.select(*place, F.lit(True).alias("_hit")), place, "left")
-        methods = marked.where(F.col("_decided") | F.col("_hit"))
+    methods = files.select("file_change_id", F.explode(F.concat(*[side(*one) for one in sides])).alias("_m")) \
+        .select("file_change_id", "_m.*")
     return align_schema(methods.withColumn("method_change_id", surrogate_id(
         F.col("file_change_id").cast("string"), F.col("before_change").cast("string"), "name",
         F.col("start_line").cast("string"), F.col("end_line").cast("string"),
@@ -144,8 +136,11 @@ def changed_files(snapshots: DataFrame) -> DataFrame:
     return files.select(identity.alias("file_change_id"), "repo_url", "hash", "_f.*")
 
 
-def file_rows(snapshots: DataFrame, language: DataFrame | None = None) -> DataFrame:
-    """C4: the file table of commits with nested files; ``language`` has (file_change_id, programming_language)."""
+def file_rows(snapshots: DataFrame, language: DataFrame | Callable[[Column], Column] | None = None) -> DataFrame:
+    """C4: the file table of commits with nested files.
+
+    ``language`` labels in the row (:func:`language_of`), or is a table (file_change_id, programming_language) to join.
+    """
     rows = changed_files(snapshots)
     rows = rows.select(
         "*",
@@ -154,7 +149,9 @@ def file_rows(snapshots: DataFrame, language: DataFrame | None = None) -> DataFr
         F.col("source_code").alias("code_after"),
         F.col("source_code_before").alias("code_before"),
     )
-    if language is not None:
+    if callable(language):
+        rows = rows.withColumn("programming_language", language(F.col("source_code")))
+    elif language is not None:
         rows = rows.join(language.select("file_change_id", "programming_language"), "file_change_id", "left")
     return align_schema(rows, FILE_CHANGE, missing=None)
 
@@ -284,6 +281,34 @@ def train_language(samples: DataFrame, languages: Sequence[str], text: str = "te
     )
 
 
+def language_of(model: DataFrame) -> Callable[[Column], Column]:
+    """C9 in the row: text → its most likely language, without a join or a shuffle.
+
+    The model comes to the driver and travels with the function; it must have ``FEATURES`` rows, as one of
+    :func:`train_language` has.
+    """
+    languages = [name for name in model.columns if name != "feature"]
+    rows = model.limit(FEATURES + 1).collect()
+    if len(rows) != FEATURES:
+        raise ValueError(f"a language model has {FEATURES} rows")
+    scores = np.zeros((FEATURES, len(languages)))
+    for row in rows:
+        scores[row["feature"]] = [row[name] for name in languages]
+
+    @F.arrow_udf("string")
+    def label(texts: pa.Array) -> pa.Array:
+        found = []
+        for whole in texts:
+            signs = np.frombuffer((whole.as_py() or "").strip().encode("utf-32-le"), dtype="<u4").astype("int64")
+            runs = (signs[:-2] * 1009 + signs[1:-1] * 31 + signs[2:]) % FEATURES
+            total = scores[runs].sum(axis=0)
+            # Of equal scores the last name wins, as in the joined form.
+            found.append(max(zip(total, languages))[1] if len(runs) else UNKNOWN)
+        return pa.array(found, pa.string())
+
+    return label
+
+
 def label_language(files: DataFrame, model: DataFrame, key: str, text: str) -> DataFrame:
     """(``key``, programming_language), the most likely language of each whole text; ``key`` is unique.
 

@@ -119,8 +119,9 @@ def pair_methods(methods: DataFrame, placed: bool = False, spread: bool = False)
 
     The n-th method of a name before the change pairs with the n-th after it, by
     line. One shuffle serves the numbering and the pairing; ``placed`` says that
-    the methods are partitioned by file already. ``spread`` numbers through range
-    partitions instead, for data where one name of one file has very many rows.
+    the methods are partitioned by file already. A group of the numbering is what one
+    name has in one file, so it comes from one array of one snapshot's file and is no longer than that. ``spread``
+    numbers through range partitions instead, for tables of other origin.
     """
     nth = Window.partitionBy("file_change_id", "name", "before_change").orderBy("start_line", "method_change_id")
     version = F.struct(F.col("method_change_id").alias("id"), F.col("code").alias("code"))

@@ -159,6 +159,13 @@ def table_counts(tables: Tables) -> DataFrame:
     return rows
 
 
+def verify_catalog(weaknesses: DataFrame) -> None:
+    """Raise ``ValueError`` if the weakness table has no rows or a key twice."""
+    repeated = weaknesses.groupBy("cwe_id").count().where("count > 1 OR cwe_id IS NULL")
+    if weaknesses.isEmpty() or not repeated.isEmpty():
+        raise ValueError("cwe_id is not unique, or there are no weaknesses")
+
+
 def verify(tables: Tables) -> None:
     """Raise ``ValueError`` if a primary key, the weakness reference or a count rule (P5-P7) does not hold."""
     problems = {

@@ -470,9 +470,11 @@ def language_share(t: Tables, languages: Sequence[str]) -> DataFrame:
     complete = F.lit(True)
     for name in files.columns:
         complete = complete & F.col(name).isNotNull()
-    chosen = F.count_if(F.col("programming_language").isin(*languages) & complete)
-    whole = F.count("programming_language")
-    return files.agg((chosen / F.nullif(whole, F.lit(0)) * 100).alias("language_percent"))
+    # Two scans: the whole needs the language alone, and the language filter of the part reaches the scan.
+    part = files.where(F.col("programming_language").isin(*languages) & complete).agg(F.count("*").alias("part"))
+    whole = files.agg(F.count("programming_language").alias("whole"))
+    return whole.select((part.select("part").scalar() / F.nullif(F.col("whole"), F.lit(0)) * 100)
+                        .alias("language_percent"))
 
 
 def language_levels(t: Tables, limit: int = 15) -> DataFrame:

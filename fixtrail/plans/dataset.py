@@ -7,6 +7,7 @@ A custom list of advisories is the same job with another feed path.
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,19 +16,24 @@ from pyspark.sql import functions as F
 from ..operators import changes, integrity, linking
 from ..operators.shaping import align_schema
 from ..schemas import PROBE_LOG, REPOSITORY, SNAPSHOT, TABLES
-from ..session import build_session, materialise
+from ..session import build_session, drop_scratch, materialise
 from ..sources import feed, tables, weaknesses
 
 
 def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_log: DataFrame | None = None,
             repo_meta: DataFrame | None = None, sample_limit: int | None = None,
-            language_model: DataFrame | None = None, loaded: DataFrame | None = None) -> dict[str, DataFrame]:
+            language_model: DataFrame | None = None, loaded: DataFrame | None = None,
+            years: tuple[int, int | None] | None = None, sample_year: bool = False) -> dict[str, DataFrame]:
     """The eight tables before pruning.
 
     ``items`` are feed items, ``catalog`` catalogue nodes, ``snapshots`` commits
     with their files; ``loaded`` are commits of an earlier run, which are skipped.
+    ``years`` are the first and last year of advisories; ``sample_year`` keeps those of this year.
     """
     cve = feed.advisories(items)
+    if years or sample_year:
+        first, last = years or (feed.FIRST_YEAR, None)
+        cve = feed.year_window(cve, first=first, last=last, sample=sample_year)
     fixes = linking.extract_fix_links(cve)
     if probe_log is not None:
         fixes = linking.drop_unavailable(fixes, probe_log)
@@ -36,10 +42,9 @@ def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_lo
     if loaded is not None:
         snapshots = linking.pending_fixes(snapshots, loaded)
 
-    language = None
     files = changes.changed_files(snapshots)
-    if language_model is not None:
-        language = changes.label_language(files, language_model, "file_change_id", "source_code")
+    # Labelled where the text is read; a join would move whole sources.
+    language = changes.language_of(language_model) if language_model is not None else None
     file_change = changes.file_rows(snapshots, language)
     # Maintainability compares whole files, so it also needs the methods a change left alone.
     all_methods = changes.method_rows(files, changed_only=False).withColumn(
@@ -58,19 +63,56 @@ def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_lo
     }
 
 
-def build_dataset(root: str, **sources) -> dict[str, DataFrame]:
-    """Collect, prune and write the eight tables below ``root``; returns them as read back.
+# Keys by which rows of a new run replace those of an earlier one.
+NARROW_KEYS = {
+    "cve": ["cve_id"], "fixes": ["cve_id", "hash", "repo_url"], "cwe": ["cwe_id"],
+    "cwe_classification": ["cve_id", "cwe_id"], "repository": ["repo_url"],
+}
 
-    The written tables are checked; a broken key or count rule raises ``ValueError``.
+
+def extend(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of an earlier run with what a new run collected.
+
+    Commits, files and methods of the new run are of commits that were not loaded, so they are appended without a look
+    at the old ones; the narrow tables are merged by key.
+    """
+    merged = {}
+    for name, table in new.items():
+        before = old[name]
+        if keys := NARROW_KEYS.get(name):
+            before = before.join(table.select(*keys).distinct(), keys, "left_anti").select(*old[name].columns)
+        merged[name] = table.unionByName(before)
+    return merged
+
+
+def build_dataset(root: str, previous: str | None = None, **sources) -> dict[str, DataFrame]:
+    """Collect, prune and write the eight tables below the new folder ``root``; returns them as read back.
+
+    With ``previous``, the folder of an earlier run, its commits are not collected again and its rows go into the new
+    tables. The tables are written beside ``root`` and checked there; a broken key or count rule raises
+    ``ValueError``, and ``root`` comes into being only when all is well, at once. The folder of the earlier run stays.
     """
     spark = sources["items"].sparkSession
-    # The advisories feed several tables; parse them once.
+    if tables.table_exists(spark, f"{root}/cve"):
+        raise FileExistsError(root)
+    # The catalogue check comes before the costly part.
+    integrity.verify_catalog(linking.build_weakness_dim(sources["catalog"]))
+    # Advisories and snapshots feed several tables each; they are parsed once, later reads take the columns they need.
     sources["items"] = materialise(sources["items"])
-    pruned = integrity.prune(collect(**sources), materialise_links=True)
-    tables.write_tables({name: pruned[name] for name in TABLES}, root)
-    written = tables.load_tables(spark, root)
-    integrity.verify(written)
-    return written
+    sources["snapshots"] = materialise(sources["snapshots"])
+    if previous:
+        old = tables.load_tables(spark, previous)
+        merged = extend(old, collect(**sources, loaded=old["commits"]))
+    else:
+        merged = collect(**sources)
+    pruned = integrity.prune(merged, materialise_links=True)
+    if previous:
+        pruned["fixes"] = pruned["fixes"].distinct()
+    staged = f"{root.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    tables.write_tables({name: pruned[name] for name in TABLES}, staged)
+    integrity.verify(tables.load_tables(spark, staged))
+    tables.publish(spark, staged, root)
+    return tables.load_tables(spark, root)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -84,6 +126,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--language-samples", help="labelled texts (text, lang) for language labels, JSON lines")
     parser.add_argument("--languages", nargs="+", default=[], help="the labels to tell apart")
     parser.add_argument("--sample-limit", type=int, help="number of fixes of a sample")
+    parser.add_argument("--first-year", type=int, default=feed.FIRST_YEAR, help="advisories from this year on")
+    parser.add_argument("--last-year", type=int, help="advisories up to this year, else up to now")
+    parser.add_argument("--sample-year", action="store_true", help="advisories of this year only")
+    parser.add_argument("--previous", help="folder of an earlier run to extend; it stays as it is")
     parser.add_argument("--output", required=True, help="new folder for the tables")
     given = parser.parse_args(arguments)
 
@@ -93,8 +139,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     if given.language_samples:
         samples = read.schema("text string, lang string").json(given.language_samples)
         model = changes.train_language(samples, given.languages)
-    build_dataset(
+    written = build_dataset(
         given.output,
+        previous=given.previous,
         items=feed.read_advisory_feed(spark, given.feed, lines=given.feed_lines),
         catalog=weaknesses.read_weakness_catalog(spark, given.catalog),
         snapshots=read.schema(SNAPSHOT).json(given.snapshots),
@@ -102,7 +149,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
         repo_meta=read.schema(REPOSITORY).json(given.repo_meta) if given.repo_meta else None,
         sample_limit=given.sample_limit,
         language_model=model,
+        years=(given.first_year, given.last_year),
+        sample_year=given.sample_year,
     )
+    integrity.table_counts(written).show()
+    drop_scratch(spark)
 
 
 if __name__ == "__main__":

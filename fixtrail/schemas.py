@@ -7,10 +7,12 @@ from .functions.diffs import PARSED_DIFF
 LANG_TEXT = "array<struct<lang:string,value:string>>"
 REFERENCES = "array<struct<url:string,name:string,refsource:string,tags:array<string>>>"
 PROBLEM_TYPES = f"array<struct<description:{LANG_TEXT}>>"
-# The tree of affected products is kept one level deep; deeper children stay JSON text.
+# The tree of affected products is kept one level deep; deeper children stay JSON text. The limits of a match's versions
+# are fixed names of the feed.
 NODES = (
     "array<struct<operator:string,children:array<string>,"
-    "cpe_match:array<struct<vulnerable:boolean,cpe23Uri:string,cpe_name:array<string>>>>>"
+    "cpe_match:array<struct<vulnerable:boolean,cpe23Uri:string,versionStartIncluding:string,versionStartExcluding:string,"
+    "versionEndIncluding:string,versionEndExcluding:string,cpe_name:array<string>>>>>"
 )
 
 # Columns whose names are fixed values of the data model, in stored order.

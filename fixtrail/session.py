@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,11 @@ def build_session(app: str = "fixtrail", master: str | None = None,
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder where unset."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Only a local master may do without that setting and gets a temp folder; elsewhere each executor would write to
+    its own disk and reads would find a part.
+    """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -44,13 +49,33 @@ def shared_root(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured.rstrip("/")
     if not context.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="fixtrail-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing folder below the shared one."""
-    return f"{shared_root(spark)}/fixtrail-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/fixtrail-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the folders that ``scratch_path`` gave out, through Spark's file systems; returns how many were there.
+
+    Call it when no DataFrame that reads them is needed any more. Jobs do so at their end.
+    """
+    jvm, removed = spark.sparkContext._jvm, 0
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        removed += bool(path.getFileSystem(settings).delete(path, True))
+    return removed
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -33,18 +33,28 @@ def explode_items(raw: DataFrame) -> DataFrame:
 
 
 def advisories(items: DataFrame) -> DataFrame:
-    """The ``cve`` table from feed items: flattened, cleaned, renamed, typed."""
+    """The ``cve`` table from feed items: flattened, cleaned, renamed, typed.
+
+    A malformed date becomes null; ``malformed_dates`` counts them.
+    """
     flat = shaping.flatten(items)
     flat = shaping.drop_empty_refs(flat, "cve.references.reference_data")
     flat = shaping.rename(flat, {"cve.CVE_data_meta.ID": "cve_id"})
     flat = shaping.snake_columns(shaping.drop_columns(flat))
     dates = {
-        name: F.to_timestamp(name, DATE_TEXT) for name in ("published_date", "last_modified_date")
+        name: F.try_to_timestamp(name, F.lit(DATE_TEXT)) for name in ("published_date", "last_modified_date")
         if name in flat.columns
     }
     return shaping.align_schema(flat.withColumns(dates), CVE)
 
 
+def malformed_dates(items: DataFrame) -> DataFrame:
+    """Per date column the number of texts that are no date, in one row."""
+    return items.agg(*[
+        F.count(F.when(F.col(name).isNotNull() & F.try_to_timestamp(name, F.lit(DATE_TEXT)).isNull(), 1)).alias(name)
+        for name in ("publishedDate", "lastModifiedDate")])
+
+
 def year_window(df: DataFrame, column: str = "published_date", first: int = FIRST_YEAR, last: int | None = None,
                 sample: bool = False, today: date | None = None) -> DataFrame:
     """Rows of the years first … last (default: this year); ``sample`` keeps this year only.

@@ -50,6 +50,19 @@ def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:
         write_table(table, f"{root}/{name}", mode="errorifexists")
 
 
+def publish(spark: SparkSession, staged: str, root: str) -> None:
+    """Give checked tables their final place: the whole folder is renamed at once, by Spark's file system."""
+    paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    source, target = paths(staged), paths(root)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(target):
+        raise FileExistsError(root)
+    if target.getParent() is not None:
+        system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"{staged} could not become {root}")
+
+
 def table_exists(spark: SparkSession, target: str) -> bool:
     """Whether a Parquet folder or a catalogue table is there."""
     if "/" not in target:

@@ -137,23 +137,42 @@ def test_parsed_diff_as_struct_and_as_json(spark):
         assert [tuple(e) for e in row.diff_added] == [(3, "x")] and row.diff_deleted == []
 
 
-def test_large_files_take_the_other_way_to_the_same_rows(spark, monkeypatch, rows):
-    """Deciding inside the row and through the join give the same methods."""
+def test_changed_methods_of_a_file_against_brute_force(spark):
+    """Lines of 0 and below, touching bounds, repeated spans, one very large file."""
     rng = random.Random(9)
     files = []
     for i in range(12):
-        source = "\n".join(f"line {n}" for n in range(300))
-        methods = [(n, n, [], s, s + rng.randrange(40), 1, 1, 1, 0)
-                   for n, s in ((f"m{j}" if j % 5 else C.ANONYMOUS, rng.randrange(1, 280)) for j in range(20))]
-        lines = [(rng.randrange(1, 300), "x") for _ in range(4)]
-        files.append((i, source, source if i % 4 else None, methods, methods[:10], (lines, lines[:2] if i % 3 else None)))
+        length = 3000 if i == 5 else 300
+        source = "\n".join(f"line {n}" for n in range(length))
+        methods = [(n, n, [], s, s + rng.randrange(-2, 40), 1, 1, 1, 0)
+                   for n, s in ((f"m{j % 15}" if j % 5 else C.ANONYMOUS, rng.randrange(-3, length - 20))
+                                for j in range(900 if i == 5 else 20))]
+        methods += methods[:3]
+        lines = [(rng.randrange(-3, length), "x") for _ in range(600 if i == 5 else 4)] + [(methods[3][3], "y")]
+        files.append((i, source, source if i % 4 else None, methods, methods[:10] if i % 5 else None,
+                      (lines, lines[:2] if i % 3 else None)))
     method = ("array<struct<name:string,long_name:string,parameters:array<string>,start_line:int,end_line:int,nloc:int,"
               "complexity:int,token_count:int,top_nesting_level:int>>")
     line = "array<struct<line:int,text:string>>"
     df = spark.createDataFrame(files, f"file_change_id bigint, source_code string, source_code_before string, methods {method}, "
                                       f"methods_before {method}, diff_parsed struct<added:{line},deleted:{line}>")
-    inside = rows(C.method_rows(df))
-    monkeypatch.setattr(C, "PAIRS_IN_ROW", -1)
-    assert inside and rows(C.method_rows(df)) == inside
-    monkeypatch.setattr(C, "PAIRS_IN_ROW", 60)  # some each way
-    assert rows(C.method_rows(df)) == inside
+    want = []
+    for i, after, before, methods, methods_before, (added, deleted) in files:
+        for source, found, changed, flag in ((after, methods, added, False), (before, methods_before, deleted, True)):
+            want += [(i, m[0], m[3], m[4], flag) for m in found or () if m[0] != C.ANONYMOUS and source is not None
+                     and any(m[3] <= n <= m[4] for n, _ in changed or ())]
+    got = C.method_rows(df).select("file_change_id", "name", "start_line", "end_line", "before_change").collect()
+    assert want and sorted(map(tuple, got)) == sorted(want)
+
+
+def test_labels_in_the_row_are_those_of_the_join(spark, rows):
+    texts = spark.createDataFrame([(1, "def f(x): return x"), (2, "int main() { return 0; }"), (3, "ab"), (4, None)],
+                                  "key int, text string")
+    samples = spark.createDataFrame([("def g(y): yield y", "py"), ("int f(int a) { return a; }", "c")],
+                                    "text string, lang string")
+    model = C.train_language(samples, ["py", "c"])
+    label = C.language_of(model)
+    got = rows(texts.select("key", label(F.col("text")).alias("programming_language")))
+    assert got == rows(C.label_language(texts, model, "key", "text"))
+    with pytest.raises(ValueError):
+        C.language_of(model.where("feature > 5"))

@@ -4,6 +4,7 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fixtrail.operators import integrity, linking, shaping
@@ -28,7 +29,7 @@ def advisory(name, weakness, links, v3, v2, published):
                 "problemtype": {"problemtype_data": described}, "references": {"reference_data": references},
                 "description": {"description_data": [{"lang": "en", "value": f"about {name}"}]}},
         "configurations": {"CVE_data_version": "4.0", "nodes": [{"operator": "OR", "children": [], "cpe_match": [
-            {"vulnerable": True, "cpe23Uri": "cpe:x", "cpe_name": []}]}]},
+            {"vulnerable": True, "cpe23Uri": "cpe:x", "versionEndExcluding": "0.12.19", "cpe_name": []}]}]},
         "impact": impact, "publishedDate": published, "lastModifiedDate": published,
     }
 
@@ -117,6 +118,15 @@ def test_feed_becomes_the_advisory_table(spark, inputs, rows):
     assert feed.year_window(cve, sample=True, today=date(2022, 3, 1)).count() == 1
 
 
+def test_version_limits_and_odd_dates_are_kept(spark, inputs):
+    items = feed.read_advisory_feed(spark, str(inputs / "feed"))
+    match = feed.advisories(items).first().nodes[0].cpe_match[0]
+    assert (match.versionEndExcluding, match.versionStartIncluding) == ("0.12.19", None)
+    odd = items.withColumn("publishedDate", F.lit("no date"))
+    assert feed.advisories(odd).where("published_date IS NOT NULL").count() == 0
+    assert tuple(feed.malformed_dates(odd).first()) == (items.count(), 0)
+
+
 def test_feed_date(spark, inputs):
     raw = spark.read.schema(FEED).option("multiLine", True).json(str(inputs / "feed"))
     assert feed.feed_timestamp(raw).first().feed_date == date(2024, 5, 2)
@@ -157,6 +167,50 @@ def test_whole_job(spark, inputs):
     assert [r.hash for r in again["commits"].collect()] == ["unlinked"]
 
 
+def sources(spark, inputs, items=slice(None), snapshots=slice(None)):
+    folder = inputs / f"part-{len(list(inputs.iterdir()))}"
+    folder.mkdir()
+    (folder / "feed.json").write_text(json.dumps({"CVE_Items": ADVISORIES[items]}))
+    (folder / "snapshots.json").write_text("\n".join(map(json.dumps, SNAPSHOTS[snapshots])))
+    return {
+        "items": feed.read_advisory_feed(spark, str(folder / "feed.json")),
+        "catalog": weaknesses.read_weakness_catalog(spark, str(inputs / "catalog.xml")),
+        "snapshots": spark.read.schema(SNAPSHOT).json(str(folder / "snapshots.json")),
+    }
+
+
+def test_two_runs_equal_one(spark, inputs, rows):
+    first, second, whole = (str(inputs / name) for name in ("first", "second", "whole"))
+    dataset.build_dataset(first, **sources(spark, inputs, slice(0, 3), slice(0, 2)))
+    # The second delivery repeats some of the first.
+    extended = dataset.build_dataset(second, previous=first, **sources(spark, inputs, slice(2, 5), slice(1, 4)))
+    at_once = dataset.build_dataset(whole, **sources(spark, inputs))
+    for name in TABLES:
+        assert rows(extended[name]) == rows(at_once[name]), name
+
+
+def test_a_failing_check_publishes_nothing(spark, inputs, monkeypatch):
+    first, second = str(inputs / "first"), str(inputs / "second")
+    dataset.build_dataset(first, **sources(spark, inputs))
+
+    def broken(tables):
+        raise ValueError("a key")
+
+    monkeypatch.setattr(integrity, "verify", broken)
+    with pytest.raises(ValueError):
+        dataset.build_dataset(second, previous=first, **sources(spark, inputs))
+    assert not tables.table_exists(spark, f"{second}/cve")
+    assert tables.load_tables(spark, first)["commits"].count() == 3
+    with pytest.raises(FileExistsError):
+        dataset.build_dataset(first, **sources(spark, inputs))
+
+
+def test_years_of_the_job(spark, inputs):
+    got = dataset.collect(**sources(spark, inputs), years=(2016, 2021))
+    assert sorted(r.cve_id for r in got["cve"].collect()) == ["CVE-2016-9964", "CVE-2020-28473"]
+    assert dataset.collect(**sources(spark, inputs), sample_year=True)["cve"].count() == 0
+
+
 def test_job_from_the_command_line(spark, inputs):
     (inputs / "meta.json").write_text(json.dumps({"repo_url": BOTTLE, "repo_name": "bottlepy/bottle", "owner": "bottlepy"}))
     (inputs / "probes.json").write_text(json.dumps(
@@ -226,6 +280,20 @@ def test_feed_documents_as_a_stream(spark, inputs):
     assert spark.read.parquet(target).count() == 3
 
 
+def test_indented_feeds_as_a_stream_give_the_advisory_table(spark, inputs, rows):
+    def ingest(target, lines):
+        incremental_ingest(spark, str(inputs / "feed"), FEED, target, f"{target}-progress", "cve_id", items="CVE_Items",
+                           lines=lines, rows=feed.advisories).awaitTermination()
+
+    target = str(inputs / "stream")
+    ingest(target, lines=False)
+    batch = feed.advisories(feed.read_advisory_feed(spark, str(inputs / "feed")))
+    assert rows(spark.read.schema(batch.schema).parquet(target)) == rows(batch)
+    # Read as lines, such a file is an error, not an empty delivery.
+    with pytest.raises(StreamingQueryException):
+        ingest(str(inputs / "other"), lines=True)
+
+
 def test_insert_if_absent_and_catalogue_tables(spark, tmp_path):
     target = str(tmp_path / "repos")
     first = spark.createDataFrame([("a", 1), ("b", 1)], "repo_url string, n int")
