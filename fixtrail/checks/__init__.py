@@ -6,7 +6,7 @@ import importlib
 
 MODULES = (
     "analytics_queries", "linking_queries", "integrity_queries", "shaping_queries", "change_queries", "diff_queries",
-    "storage_queries",
+    "storage_queries", "report_queries",
 )
 
 

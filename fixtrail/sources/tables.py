@@ -99,5 +99,5 @@ def export_jsonl(df: DataFrame, root: str, stamp: str, name: str = "advisories")
 
 def write_report(df: DataFrame, path: str, order: Sequence[Column | str], limit: int = 10) -> None:
     """The first ``limit`` rows as one CSV file with a header."""
-    top = df.orderBy(*order).limit(limit).coalesce(1)
+    top = (df.orderBy(*order) if order else df).limit(limit).coalesce(1)
     top.write.mode("overwrite").option("header", True).csv(path)

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from fixtrail.operators import integrity, linking, shaping
-from fixtrail.plans import dataset
+from fixtrail.plans import dataset, reports
 from fixtrail.schemas import FEED, SNAPSHOT, TABLES
 from fixtrail.sources import feed, tables, weaknesses
 from fixtrail.streaming.incremental import incremental_ingest
@@ -343,3 +343,15 @@ def test_shaping(spark):
     nulls = spark.createDataFrame([(None, None)], "n bigint, s string")
     assert tuple(shaping.fill_null(nulls, ["n"]).first()) == (0, None)
     assert shaping.to_text(nulls, ["n"]).first().n == "None"
+
+
+def test_five_reports_of_a_built_dataset(spark, inputs):
+    built = dataset.build_dataset(str(inputs / "out"), **sources(spark, inputs))
+    reports.write_reports(built, str(inputs / "reports"))
+    got = {name: [line for file in (inputs / "reports" / name).glob("*.csv") for line in file.read_text().splitlines()]
+           for name in reports.REPORTS}
+    assert got["cwe_summary"][0] == "CWE,description,cve_count,commit_count,file_count"
+    assert [line.split(",")[0] for line in got["cwe_summary"][1:]] == ["CWE-93", "CWE-94", "NVD-CWE-noinfo"]
+    assert "CRLF & more" in got["cwe_summary"][1]
+    assert got["dataset_summary_cve_cwe"][0] == "projects,cve_count,cwe_count" and len(got["dataset_summary_cve_cwe"]) == 3
+    assert len(got["dataset_summary"]) == 2 and all(len(lines) >= 2 for lines in got.values())
