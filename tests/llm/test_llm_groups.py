@@ -64,6 +64,37 @@ def test_group_pairs_are_filtered_without_loss(spark, monkeypatch):
     assert got == {i: v for (i, _), v in brute_components(rows, 4, 85).items()}
 
 
+def brute_links(rows, words, percent):
+    """{(id, text): set}, and the pairs of different rows that link."""
+    sets = [(i, t, shingle_set(t, words)) for i, t in rows if i is not None]
+    links = {(a, b) for a in range(len(sets)) for b in range(a) if (common := len(sets[a][2] & sets[b][2]))
+             and 100 * common >= percent * (len(sets[a][2]) + len(sets[b][2]) - common)}
+    return sets, links
+
+
+@pytest.mark.parametrize("block, words, percent", [(1 << 19, 4, 85), (1 << 13, 2, 60)])
+def test_all_links_against_all_pairs(spark, monkeypatch, block, words, percent):
+    """Small blocks spread each family over many pairs of blocks."""
+    monkeypatch.setattr(grouped_prefix_join, "BLOCK", block)
+    twice = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen " * 3
+    odd = [(i, t) for i, t, _ in odd_rows() if i != 10] + [(90, twice), (90, twice + "and")]
+    for rows in ([(100 + i, t) for i, t in texts_with_families()] + odd,):
+        docs = documents(spark, [(i, t, "s") for i, t in rows]).repartition(4)
+        sets, links = brute_links(rows, words, percent)
+        degree = Counter(x for pair in links for x in pair)
+        got = grouped_prefix_join.join_components(docs, words, percent).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got if r.doc_id is not None) == Counter(
+            (i, len(s), degree[x]) for x, (i, _, s) in enumerate(sets))
+        assert all(r.n_links is None for r in got if r.doc_id is None)
+        members, pairs = grouped_prefix_join.join_links(docs, words, percent)
+        first = {}
+        for i, _, s in sorted(sets, key=lambda x: x[0]):
+            first.setdefault(s, i)
+        assert Counter(map(tuple, members.collect())) == Counter((i, first[s]) for i, _, s in sets if s)
+        want = {frozenset((sets[a][2], sets[b][2])) for a, b in links if sets[a][2] != sets[b][2]}
+        assert Counter(map(tuple, pairs.collect())) == Counter(tuple(sorted(first[s] for s in p)) for p in want)
+
+
 def test_shingle_sets_have_the_right_size():
     shingler = grouped_prefix_join.Shingler(4)
     for _, text in texts_with_families() + [(0, ""), (1, "a"), (2, "A b"), (3, "a a a a a a")]:
