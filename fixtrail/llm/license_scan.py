@@ -1,10 +1,10 @@
 """License scans (2) through a positional index of rare words.
 
-The index covers a fixed list of notices: for the words of each notice that occur in the fewest notices (highest
-inverse document frequency) it holds (notice, position). In a file, each such word is looked up, most telling words
-first; file position minus notice position is where the notice would start, and a notice is a candidate where enough
-of its rare words agree on the start. A candidate counts when its mandatory phrases stand where they should, word by
-word. The index is a few kB and travels with the function; nothing is shuffled, and the lookups take time in
+The index covers a fixed list of notices: for the word of each notice's key phrases that occurs in the fewest notices
+(highest inverse document frequency) it holds (notice, position). In a file, each such word is looked up; file position
+minus notice position is where the notice would start. A candidate counts when all its key phrases are there, word by
+word, further ones at most some words from where they stand in the notice. How much of the other words is in place makes
+the score and decides nothing. The index is a few kB and travels with the function; nothing is shuffled, and the lookups take time in
 proportion to the occurrences of rare words.
 
 Defined results: a null, empty or blank text has no words, no places, empty labels and score 0; repeated rows
@@ -29,13 +29,17 @@ SCHEMA = (
     "labels string, score double, notices string, n_notices bigint"
 )
 
+# Words by which the distance of two key phrases may differ from the notice's: "either version 3" stands eight words later
+# where the public licence is named "as published by the free software foundation".
+SLACK = 10
+
 # Bytes of UTF-8: a word is a run of digits, small letters and characters beyond ASCII.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 @dataclass(frozen=True)
 class Notice:
-    """A text to look for; ``key`` phrases must be found whole, of the rest ``share`` of the words."""
+    """A text to look for; ``key`` phrases must be found whole."""
 
     name: str
     label: str
@@ -83,60 +87,61 @@ NOTICES = (
 
 
 class RareWordIndex:
-    """Postings of the rarest words of each notice."""
+    """Posting of the rarest word of each notice's key phrases."""
 
-    def __init__(self, notices: Sequence[Notice] = NOTICES, rare: int = 3, share: float = 0.7):
-        self.notices, self.share = list(notices), share
+    def __init__(self, notices: Sequence[Notice] = NOTICES):
+        self.notices = list(notices)
         self.words = [n.text.encode().split() for n in self.notices]
         in_notices = Counter(w for words in self.words for w in set(words))
         self.idf = {w: math.log((1 + len(self.notices)) / n) for w, n in in_notices.items()}
         self.weight = [sum(self.idf[w] for w in words) for words in self.words]
-        # Where in the notice each mandatory phrase stands.
+        # Where in the notice each mandatory phrase stands; the one with the rarest word comes first.
         self.keys = []
-        for notice, words in zip(self.notices, self.words):
+        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for n, (notice, words) in enumerate(zip(self.notices, self.words)):
             found = []
             for phrase in (p.encode().split() for p in notice.key):
                 at = next(i for i in range(len(words)) if words[i:i + len(phrase)] == phrase)
-                found.append((at, phrase))
-            self.keys.append(found)
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.needed = []
-        for n, words in enumerate(self.words):
-            # A key word at least must be among the rare ones, so that every verified place is looked up.
-            in_key = {i for at, phrase in self.keys[n] for i in range(at, at + len(phrase))}
-            order = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))
-            chosen = sorted(in_key, key=order.index)[:1]
-            chosen += [i for i in order if i not in chosen][:0 if self.notices[n].base else rare - 1]
-            for i in chosen:
-                self.postings[words[i]].append((n, i))
-            self.needed.append(min(2, len(chosen)))
+                rarest = min(range(at, at + len(phrase)), key=lambda i: (-self.idf[words[i]], i))
+                found.append((-self.idf[words[rarest]], rarest, at, phrase))
+            found.sort()
+            self.postings[found[0][3][found[0][1] - found[0][2]]].append((n, found[0][1]))
+            self.keys.append([(at, phrase) for _, _, at, phrase in found])
         self.postings = dict(self.postings)
 
+    def starts(self, words: list[bytes], notice: int, start: int) -> list[int] | None:
+        """Where the notice would start by each of its key phrases; none unless all are there.
+
+        The first phrase stands where ``start`` says, the others at most ``SLACK`` words from there.
+        """
+        (at, phrase), *others = self.keys[notice]
+        if start + at < 0 or words[start + at:start + at + len(phrase)] != phrase:
+            return None
+        found = [start]
+        for at, phrase in others:
+            near = next((s for s in sorted(range(start - SLACK, start + SLACK + 1), key=lambda s: abs(s - start))
+                         if s + at >= 0 and words[s + at:s + at + len(phrase)] == phrase), None)
+            if near is None:
+                return None
+            found.append(near)
+        return found
+
     def places(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(notice, start, share of its weight found in place) of each verified candidate; a start may be below 0."""
         rare = self.postings.keys() & set(words)
         if not rare:
             return []
-        at = defaultdict(list)
-        for i, word in enumerate(words):
-            if word in rare:
-                at[word].append(i)
-        votes: Counter[tuple[int, int]] = Counter()
-        for word in sorted(rare, key=lambda w: (-self.idf[w], w)):
-            for notice, position in self.postings[word]:
-                votes.update((notice, i - position) for i in at[word])
         found = []
-        for (notice, start), agreed in votes.items():
-            if agreed < self.needed[notice]:
-                continue
-            if any(start + k < 0 or words[start + k:start + k + len(phrase)] != phrase
-                   for k, phrase in self.keys[notice]):
+        for i, word in enumerate(words):
+            if word not in rare:
                 continue
-            own = self.words[notice]
-            there = sum(self.idf[w] for i, w in enumerate(own)
-                        if 0 <= start + i < len(words) and words[start + i] == w) / self.weight[notice]
-            if there >= self.share:
-                found.append((notice, start, there))
+            for notice, position in self.postings[word]:
+                starts = self.starts(words, notice, i - position)
+                if starts is None:
+                    continue
+                there = sum(self.idf[w] for k, w in enumerate(self.words[notice])
+                            if any(0 <= s + k < len(words) and words[s + k] == w for s in starts))
+                found.append((notice, i - position, there / self.weight[notice]))
         return found
 
     def scan(self, text: str) -> tuple:
@@ -153,7 +158,7 @@ class RareWordIndex:
             sum(not self.notices[n].base for n, _, _ in found))
 
 
-def scan_documents(docs: DataFrame, notices: Sequence[Notice] = NOTICES, rare: int = 3, share: float = 0.7,
+def scan_documents(docs: DataFrame, notices: Sequence[Notice] = NOTICES,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document.
 
@@ -161,7 +166,7 @@ def scan_documents(docs: DataFrame, notices: Sequence[Notice] = NOTICES, rare: i
     and those of notices, ``notices`` names them, ``score`` is the largest share of a notice's word weight in place.
     """
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = RareWordIndex(notices, rare, share)
+        index = RareWordIndex(notices)
         for batch in byte_sliced(batches, "text", 4 << 20):
             rows = [index.scan(text) for text in batch.column("text").to_pylist()]
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.string(), pa.int64()]

@@ -156,6 +156,23 @@ def test_license_notices(spark):
     assert (got[5].base_labels, got[5].labels) == ("gpl", "gpl,lgpl")
 
 
+def test_key_phrases_decide_the_label(spark):
+    texts = {
+        "Licensed under the MIT License": "mit", "Distributed under the MIT License": "mit", "The MIT License (MIT)": "mit",
+        "GNU General Public License version 3": "gpl,gpl-3",
+        "Released under the GNU General Public License version 3": "gpl,gpl-3",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License": "gpl,gpl-3",
+        "Licensed under the well known Apache License, in its Version 2.0": "apache-2",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee": "isc",
+        "GNU General Public License " + "x " * 20 + "version 3": "gpl", "Apache License, Version 1": "",
+    }
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    got = {r.doc_id: r for r in license_scan.scan_documents(docs).collect()}
+    assert [got[i].labels for i in range(len(texts))] == list(texts.values())
+    assert 0 < got[2].score < 0.7
+
+
 def test_empty_tables(spark):
     docs = documents(spark, odd_rows()).where(F.lit(False))
     assert license_scan.scan_documents(docs).count() == 0
