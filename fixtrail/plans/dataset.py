@@ -23,16 +23,17 @@ from ..sources import feed, tables, weaknesses
 def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_log: DataFrame | None = None,
             repo_meta: DataFrame | None = None, sample_limit: int | None = None,
             language_model: DataFrame | None = None, loaded: DataFrame | None = None,
-            years: tuple[int, int | None] | None = None, sample_year: bool = False) -> dict[str, DataFrame]:
+            years: tuple[int | None, int | None] | None = None, sample_year: bool = False) -> dict[str, DataFrame]:
     """The eight tables before pruning.
 
     ``items`` are feed items, ``catalog`` catalogue nodes, ``snapshots`` commits
     with their files; ``loaded`` are commits of an earlier run, which are skipped.
-    ``years`` are the first and last year of advisories; ``sample_year`` keeps those of this year.
+    ``years`` are the first and last year of advisories, ``sample_year`` keeps those of this year; without both every
+    advisory stays, also one without a date.
     """
     cve = feed.advisories(items)
-    if years or sample_year:
-        first, last = years or (feed.FIRST_YEAR, None)
+    first, last = years or (None, None)
+    if first is not None or last is not None or sample_year:
         cve = feed.year_window(cve, first=first, last=last, sample=sample_year)
     fixes = linking.extract_fix_links(cve)
     if probe_log is not None:
@@ -100,6 +101,8 @@ def build_dataset(root: str, previous: str | None = None, **sources) -> dict[str
     # Advisories and snapshots feed several tables each; they are parsed once, later reads take the columns they need.
     sources["items"] = materialise(sources["items"])
     sources["snapshots"] = materialise(sources["snapshots"])
+    print("Dates that could not be read, by column:")
+    feed.malformed_dates(sources["items"]).show()
     if previous:
         old = tables.load_tables(spark, previous)
         merged = extend(old, collect(**sources, loaded=old["commits"]))
@@ -126,8 +129,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--language-samples", help="labelled texts (text, lang) for language labels, JSON lines")
     parser.add_argument("--languages", nargs="+", default=[], help="the labels to tell apart")
     parser.add_argument("--sample-limit", type=int, help="number of fixes of a sample")
-    parser.add_argument("--first-year", type=int, default=feed.FIRST_YEAR, help="advisories from this year on")
-    parser.add_argument("--last-year", type=int, help="advisories up to this year, else up to now")
+    parser.add_argument("--first-year", type=int, help="advisories from this year on, else of all years")
+    parser.add_argument("--last-year", type=int, help="advisories up to this year; with --first-year alone, up to now")
     parser.add_argument("--sample-year", action="store_true", help="advisories of this year only")
     parser.add_argument("--previous", help="folder of an earlier run to extend; it stays as it is")
     parser.add_argument("--output", required=True, help="new folder for the tables")

@@ -55,9 +55,9 @@ def malformed_dates(items: DataFrame) -> DataFrame:
         for name in ("publishedDate", "lastModifiedDate")])
 
 
-def year_window(df: DataFrame, column: str = "published_date", first: int = FIRST_YEAR, last: int | None = None,
+def year_window(df: DataFrame, column: str = "published_date", first: int | None = FIRST_YEAR, last: int | None = None,
                 sample: bool = False, today: date | None = None) -> DataFrame:
-    """Rows of the years first … last (default: this year); ``sample`` keeps this year only.
+    """Rows of the years first … last (default: this year); without ``first`` all before ``last`` too; ``sample`` keeps this year only.
 
     The limits are plain dates, so they reach the Parquet scan and prune by statistics.
     """
@@ -65,7 +65,8 @@ def year_window(df: DataFrame, column: str = "published_date", first: int = FIRS
     last = this_year if last is None else last
     if sample:
         first = last = this_year
-    return df.where((F.col(column) >= F.lit(date(first, 1, 1))) & (F.col(column) < F.lit(date(last + 1, 1, 1))))
+    until = df.where(F.col(column) < F.lit(date(last + 1, 1, 1)))
+    return until if first is None else until.where(F.col(column) >= F.lit(date(first, 1, 1)))
 
 
 def feed_timestamp(feeds: DataFrame, column: str = "CVE_data_timestamp") -> DataFrame:

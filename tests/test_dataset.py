@@ -1,6 +1,7 @@
 """Readers, sinks and the whole job on small files."""
 
 import json
+import re
 from datetime import date
 
 import pytest
@@ -345,6 +346,28 @@ def test_shaping(spark):
     assert shaping.to_text(nulls, ["n"]).first().n == "None"
 
 
+def test_all_advisories_stay_unless_years_are_asked_for(spark, inputs, capsys):
+    """The job by its arguments, with an advisory of 1999, one without a date and one with a bad one."""
+    days = ("1999-05-01T00:00Z", None, "no date")
+    odd = [json.loads(json.dumps(ADVISORIES[0])) | {"publishedDate": day} for day in days]
+    for n, item in enumerate(odd):
+        item["cve"]["CVE_data_meta"]["ID"] = f"CVE-1999-{n}"
+    (inputs / "feed" / "2.json").write_text(json.dumps({"CVE_Items": odd}))
+
+    dataset.main(["--feed", str(inputs / "feed" / "*.json"), "--catalog", str(inputs / "catalog.xml"),
+                  "--snapshots", str(inputs / "snapshots.json"), "--output", str(inputs / "all")])
+    odd_ones = lambda cve: {r.cve_id for r in cve.collect() if r.cve_id.startswith("CVE-1999")}
+    assert odd_ones(tables.load_tables(spark, str(inputs / "all"))["cve"]) == {"CVE-1999-0", "CVE-1999-1", "CVE-1999-2"}
+    assert re.search(r"\|\s*1\|\s*0\|", capsys.readouterr().out)
+
+
+def test_one_limit_of_years_is_one_limit(spark):
+    cve = spark.createDataFrame([("a", "1999-05-01"), ("b", None), ("c", "2016-01-01")], "cve_id string, day string") \
+        .select("cve_id", F.col("day").cast("timestamp").alias("published_date"))
+    kept = lambda **years: "".join(sorted(r.cve_id for r in feed.year_window(cve, **years).collect()))
+    assert (kept(first=None, last=2010), kept(first=2002), kept(first=None)) == ("a", "c", "ac")
+
+
 def test_five_reports_of_a_built_dataset(spark, inputs):
     built = dataset.build_dataset(str(inputs / "out"), **sources(spark, inputs))
     reports.write_reports(built, str(inputs / "reports"))
