@@ -39,14 +39,14 @@ def weakness_counts(t: Tables, limit: int = TOP) -> DataFrame:
     return top.select("CWE", plain.alias("description"), "cve_count", "commit_count", "file_count")
 
 
-# The names of the reports. Each has its rows, their order and how many there are at most.
-REPORTS: dict[str, tuple[Callable[[Tables], DataFrame], Sequence[str], int]] = {
+# The names of the reports. Each has its rows, their order and how many there are at most, if there is a limit.
+REPORTS: dict[str, tuple[Callable[[Tables], DataFrame], Sequence[str], int | None]] = {
     "vul_projects_10": (project_ranking, ["commit_count DESC", "file_count DESC", "method_count DESC"], TOP),
     "dataset_summary_cve_cwe": (advisory_counts, ["cve_count DESC", "projects"], TOP),
     "cwe_summary": (weakness_counts, ["cve_count DESC", "CWE"], TOP),
     "dataset_summary": (analytics.dataset_summary, [], 1),
-    # One row per project; a report of all of them is what is asked for.
-    "severity_summary": (analytics.severity_summary, ["cve_count DESC", "projects"], 1_000_000),
+    # One row per project; a report of all of them is what is asked for, in as many files as it takes.
+    "severity_summary": (analytics.severity_summary, ["cve_count DESC", "projects"], None),
 }
 
 

@@ -97,7 +97,14 @@ def export_jsonl(df: DataFrame, root: str, stamp: str, name: str = "advisories")
     return target
 
 
-def write_report(df: DataFrame, path: str, order: Sequence[Column | str], limit: int = 10) -> None:
-    """The first ``limit`` rows as one CSV file with a header."""
+def write_report(df: DataFrame, path: str, order: Sequence[Column | str], limit: int | None = 10) -> None:
+    """The first ``limit`` rows as one CSV file with a header.
+
+    Without a limit all rows are written, sorted by ranges into several files, whose names go in the same order.
+    """
+    if limit is None:
+        ranged = df.orderBy(*order) if order else df
+        ranged.write.mode("overwrite").option("header", True).csv(path)
+        return
     top = (df.orderBy(*order) if order else df).limit(limit).coalesce(1)
     top.write.mode("overwrite").option("header", True).csv(path)

@@ -368,6 +368,22 @@ def test_one_limit_of_years_is_one_limit(spark):
     assert (kept(first=None, last=2010), kept(first=2002), kept(first=None)) == ("a", "c", "ac")
 
 
+def test_a_report_of_all_rows_has_several_files(spark, tmp_path):
+    assert reports.REPORTS["severity_summary"][2] is None
+    df = spark.range(20_000).select((F.col("id") % 100).alias("n"), F.repeat(F.col("id").cast("string"), 50).alias("k"))
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_report(df, str(tmp_path / "r"), [F.desc("n"), "k"], limit=None)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    files = sorted((tmp_path / "r").glob("*.csv"))
+    lines = [line for file in files for line in file.read_text().splitlines()[1:]]
+    assert len(files) > 1 and len(lines) == 20_000
+    keys = [(-int(n), k) for n, k in (line.split(",") for line in lines)]
+    assert keys == sorted(keys)
+
+
 def test_five_reports_of_a_built_dataset(spark, inputs):
     built = dataset.build_dataset(str(inputs / "out"), **sources(spark, inputs))
     reports.write_reports(built, str(inputs / "reports"))
