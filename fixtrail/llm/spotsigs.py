@@ -5,7 +5,11 @@ signatures is its fingerprint. ``near_pairs`` finds all near documents: sets are
 stand in the same or in adjacent partitions, looked up by their rarest signatures, pruned by
 size and compared. ``with_edits`` compares each text with an edited one and with its successor's.
 
-Defined results: a text without common words has one signature of all its words, a text without words one of its
+``signature_sets``, and with it ``near_pairs``, gives a text of twelve words or more with two common words at most further
+anchors, chosen by content: of every four successive words the one with the least hash. So likeness falls with the size of an edit in any
+language, in code and in tables. ``with_edits`` returns that likeness beside the one of the fingerprints.
+
+Defined results: a shorter text without common words has one signature of all its words, a text without words one of its
 characters; an empty or null text has none. Two empty sets are alike (1.0), an empty and another are not (0.0). Repeated rows
 stand next to one another in order of their text. A null id goes before all others. Extra columns are ignored; an empty
 table gives no rows.
@@ -39,6 +43,10 @@ ANCHORS = (
 ).split()
 
 CHAIN = 3
+# Texts of fewer words have no anchors but common words, nor do texts with more common words than FEW.
+SHORT, FEW = 12, 2
+# Successive words of which one is an anchor by content.
+NEAREST = 4
 # Signatures have 40 bits: ten hexadecimal digits in a fingerprint.
 BITS = 40
 
@@ -67,8 +75,16 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return (values ^ (values >> _MIX[2])) * _MIX[1]
 
 
-def signatures(text: str, codes: WordCodes, chain: int = CHAIN) -> np.ndarray:
-    """Sorted distinct signatures; chains at the end of the text may be shorter, but hold one word at least."""
+def signatures(text: str, codes: WordCodes, chain: int = CHAIN, by_content: bool = False) -> np.ndarray:
+    """Sorted distinct signatures; chains at the end of the text may be shorter, but hold one word at least.
+
+    ``by_content`` adds anchors chosen by content where common words are too few.
+    """
+    return both_signatures(text, codes, chain)[by_content]
+
+
+def both_signatures(text: str, codes: WordCodes, chain: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures without and with anchors chosen by content."""
     words = _WORD.findall(text.encode().lower())
     coded = np.fromiter((codes[w] for w in words), np.uint64, len(words))
     anchor = (coded & _MIX[3]).astype(bool)
@@ -76,16 +92,28 @@ def signatures(text: str, codes: WordCodes, chain: int = CHAIN) -> np.ndarray:
     at = np.flatnonzero(anchor)
     after = at - np.arange(len(at))
     own = after < len(content) - (chain - 1)
+    sparse = len(words) >= SHORT and len(at) <= FEW
     at, after = at[own], after[own]
-    if not len(at):
-        if not text:
-            return np.zeros(0, np.uint64)
+    found = np.unique(chains(coded[at], content, after, chain))
+    more = np.union1d(found, chosen_by_content(coded, chain)) if sparse else None
+    if not len(at) and text:
         whole = b" ".join(words) if words else b"\n" + text.encode()
-        return np.array([xxhash.xxh3_64_intdigest(whole) >> (64 - BITS)], np.uint64)
-    value = coded[at]
+        found = np.array([xxhash.xxh3_64_intdigest(whole) >> (64 - BITS)], np.uint64)
+    return found, found if more is None else more
+
+
+def chains(value: np.ndarray, content: np.ndarray, after: np.ndarray, chain: int) -> np.ndarray:
+    """Signatures of anchors and the words from ``after`` on."""
     for k in range(chain):
         value = _mixed(value) + content[after + k]
-    return np.unique(_mixed(value) >> _MIX[4])
+    return _mixed(value) >> _MIX[4]
+
+
+def chosen_by_content(coded: np.ndarray, chain: int) -> np.ndarray:
+    """Signatures of the words with the least hash of ``NEAREST`` successive ones, with the words that follow."""
+    windows = np.lib.stride_tricks.sliding_window_view(_mixed(coded), NEAREST)
+    at = np.unique(np.arange(len(windows)) + windows.argmin(axis=1))
+    return chains(coded[at], np.concatenate([coded, np.zeros(chain, np.uint64)]), at + 1, chain)
 
 
 def to_text(values: np.ndarray) -> str:
@@ -112,7 +140,7 @@ def size_partition(size: int, threshold: float) -> int:
 def with_edits(docs: DataFrame, threshold: float = 0.8, floor: float = 0.0) -> DataFrame:
     """Fingerprints of each text and of its edited form, and their likeness.
 
-    The edited text has, in place of the last quarter of its code points, the first as many of the next document by
+    ``near_…_by_content`` differ where a text has hardly any common words. The edited text has, in place of the last quarter of its code points, the first as many of the next document by
     id (the first one after the last). Documents are dealt by ranges of ids, whole texts once; the first document of
     each range also goes to the range before it.
     """
@@ -148,7 +176,7 @@ def with_edits(docs: DataFrame, threshold: float = 0.8, floor: float = 0.0) -> D
             for doc_id, text, place in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "place"))):
                 if held is not None and held[2] % 2 == 1:
                     break  # more rows with the id of the row after: only the first counts
-                now = (doc_id, text, place, signatures(text, codes))
+                now = (doc_id, text, place, *both_signatures(text, codes))
                 if held is not None:
                     rows.append(_edited(held, now, codes, threshold, floor))
                 held = now
@@ -161,28 +189,30 @@ def with_edits(docs: DataFrame, threshold: float = 0.8, floor: float = 0.0) -> D
 
 RESULT_SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double, n_signatures bigint, size_partition int"
+    "near_edited double, near_next double, n_signatures bigint, size_partition int, near_edited_by_content double, "
+    "near_next_by_content double"
 )
 _NAMES = [part.split()[0] for part in RESULT_SCHEMA.split(", ")]
 _SCHEMA = pa.schema(list(zip(_NAMES, [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(),
-                                      pa.float64(), pa.int64(), pa.int32()])))
+                                      pa.float64(), pa.int64(), pa.int32(), pa.float64(), pa.float64()])))
 
 
 def _edited(row: tuple, after: tuple, codes: WordCodes, threshold: float, floor: float) -> tuple:
-    doc_id, text, _, own = row
+    doc_id, text, _, own, own_by_content = row
     cut = len(text) // 4
     edited = text[:len(text) - cut] + after[1][:cut]
-    other = own if edited == text else signatures(edited, codes)
+    other, other_by_content = (own, own_by_content) if edited == text else both_signatures(edited, codes)
     return (doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(own), to_text(other),
-            likeness(own, other, floor), likeness(own, after[3], floor), len(own), size_partition(len(own), threshold))
+            likeness(own, other, floor), likeness(own, after[3], floor), len(own), size_partition(len(own), threshold),
+            likeness(own_by_content, other_by_content, floor), likeness(own_by_content, after[4], floor))
 
 
 def signature_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, signatures`` (sorted array of bigint) of each text."""
+    """``doc_id, signatures`` (sorted array of bigint) of each text, by content where common words are too few."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in byte_sliced(batches, "text", 4 << 20):
-            found = [signatures(text, codes).astype(np.int64) for text in batch.column("text").to_pylist()]
+            found = [signatures(text, codes, by_content=True).astype(np.int64) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))],
                                              ["doc_id", "signatures"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,30 @@ def test_fingerprints_and_edits(spark):
             assert by_text.setdefault(text, got[i].fingerprint) == got[i].fingerprint
 
 
+def test_likeness_falls_with_the_edit_in_texts_without_common_words():
+    codes = spotsigs.WordCodes()
+    signed = lambda words: spotsigs.signatures(" ".join(words), codes, by_content=True)
+    for size in (12, 37, 94, 2000):
+        words = [f"слово{n * n % 10007}" for n in range(size)]
+        own = signed(words)
+        assert size / 6 < len(own) < size and len(signed(words + ["the"])) > size / 6
+        for at in range(0, size, max(1, size // 20)):
+            for new in ("другое", "the"):
+                edited = signed(words[:at] + [new] + words[at + 1:])
+                # An edit reaches the windows that hold the word and the chains before it.
+                assert len(np.intersect1d(own, edited)) >= len(own) - 8
+                if size > 30:
+                    assert spotsigs.likeness(own, edited) > 0.4
+        assert spotsigs.likeness(own, signed([f"x{n}" for n in range(size)])) == 0
+
+
+def test_near_columns_of_texts_without_common_words(spark):
+    words = [f"слово{n * n % 10007}" for n in range(80)]
+    docs = documents(spark, [(1, " ".join(words), "s"), (2, " ".join(words[:40] + ["другое"] + words[41:]), "s")])
+    first = spotsigs.with_edits(docs).orderBy("doc_id").first()
+    assert first.near_next == 0 and first.near_next_by_content > 0.6 and first.near_edited_by_content > 0.6
+
+
 def test_fingerprints_of_odd_tables(spark):
     docs = documents(spark, odd_rows())
     assert spotsigs.with_edits(docs).count() == docs.count()
