@@ -45,3 +45,10 @@ def byte_sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> I
             total += int(size)
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+def drops_blanks(tokenizer) -> bool:
+    """Whether texts may be cut at ASCII blanks: a tokenizer of the ``tokenizers`` library that drops them."""
+    alone = [n for text in ("a", "b", ".", "c") for n in tokenizer.encode(text, add_special_tokens=False).ids]
+    return all(tokenizer.encode(f"{x}a{x}b{x}{x}.{x}c{x}", add_special_tokens=False).ids == alone
+               for x in " \t\n\x0b\x0c\r")

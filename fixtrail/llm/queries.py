@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe_words, fair_mix, grouped_prefix_join, license_scan, ordinal_toxicity, quality_neighbours, spotsigs,
-    stream_dedup, token_counts, warc_derivatives,
+    bpe_words, fair_mix, grouped_prefix_join, license_scan, ordinal_toxicity, quality_neighbours, ranked_search, spotsigs,
+    square_packing, stream_dedup, token_counts, vector_codes, warc_derivatives,
 )
 from .common import table
 from .registry import ORACLES, QUERIES, register
@@ -79,6 +79,21 @@ def op10_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@register("op11_vector_codes", vector_codes.SQL)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_square_packing")
+def op12_square_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return square_packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@register("op13_ranked_search", ranked_search.SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def load() -> tuple[dict, dict]:
     """(queries, oracles) by name."""
     return dict(QUERIES), dict(ORACLES)
