@@ -35,14 +35,18 @@ SHARD = 1 << 14
 TAIL = 0.3
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
-# Letters that are one code point in every normal form, with marks behind them; in these no contraction occurs.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+# Letters that are one code point in every normal form, and marks that may stand behind them; no contraction has these.
+_LETTERS = "^[a-zà-öø-ÿß]+$"
+_MARKS = ".,;:!?"
 
 
 class WordIds:
-    """Texts → ids by a ``.json`` vocabulary, through tables of words whose sizes are bounded."""
+    """Texts → ids by a ``.json`` vocabulary, through a table of words whose size is bounded.
 
-    def __init__(self, path: str, most: int = 400_000):
+    A word of letters with marks behind it is two units, any other word is one; a unit is encoded once.
+    """
+
+    def __init__(self, path: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -51,7 +55,6 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cuts = drops_blanks(self.tokenizer)
-        self.known: dict[str, bytes] = {}
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         ends = [n for piece, n in self.tokenizer.get_vocab(False).items() if suffix and piece.endswith(suffix)]
         self.ends = np.zeros(self.tokenizer.get_vocab_size(True), bool)
@@ -59,75 +62,82 @@ class WordIds:
         alone = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         # Whether letters and the marks behind them are words of their own, whatever their case.
         self.plain = bool(ends) and self.cuts and alone("Äbc?!") == alone("äbc") + alone("?!")
+        self.forget()
+
+    def forget(self) -> None:
+        # Unit 0 is empty.
+        self.known: dict[str, int] = {"": 0}
+        self.sizes, self.flat = np.zeros(1, np.int64), np.zeros(0, "<u4")
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's ids end)."""
         if not self.cuts:
             found = [x.ids for x in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array([n for ids in found for n in ids], "<u4"), np.cumsum([len(ids) for ids in found])
+        if len(self.known) > self.most:
+            self.forget()
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        ids = self.words(words.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        starts = np.cumsum(sizes) - sizes
-        at = words.indices.to_numpy()
-        lengths = sizes[at]
+        # Two units a word; the second may be the empty one.
+        units = self.units(words.dictionary)[words.indices.to_numpy()].ravel()
+        lengths = self.sizes[units]
         ends = np.cumsum(lengths)
-        whole = int(ends[-1]) if len(ends) else 0
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        found = flat[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(whole)]
-        last = split.offsets.to_numpy()[1:] - split.offsets.to_numpy()[0]
-        return found, np.concatenate([[0], ends])[last]
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Little-endian ids of each word."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        fresh = [w for w in words if w not in known]
-        matches = [_PLAIN.fullmatch(w) for w in fresh] if self.plain else [None] * len(fresh)
-        letters = {m[1].lower() for m in matches if m}
-        marks = {m[2] for m in matches if m and m[2]}
-        parts = self.encoded_together([x for x in letters if x not in known])
-        parts |= self.encoded([x for x in marks if x not in known])
-        whole = self.encoded([w for w, m in zip(fresh, matches) if not m])
-        known.update(parts)
-        known.update(whole)
-        for word, m in zip(fresh, matches):
-            if m:
-                known[word] = known[m[1].lower()] + (known[m[2]] if m[2] else b"")
-        found = [known[w] for w in words]
-        # A very long word is not remembered.
-        for word in whole:
-            if len(word) > 64:
-                del known[word]
+        starts = np.cumsum(self.sizes) - self.sizes
+        found = self.flat[np.repeat(starts[units] - (ends - lengths), lengths) + np.arange(int(lengths.sum()))]
+        last = split.offsets.to_numpy()
+        return found, np.concatenate([[0], ends])[2 * (last[1:] - last[0])]
+
+    def units(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the two units of each word."""
+        found = np.zeros((len(words), 2), np.int64)
+        if not self.plain:
+            found[:, 0] = self.numbers(words, False)
+            return found
+        bases = pc.utf8_lower(pc.utf8_rtrim(words, _MARKS))
+        plain = pc.match_substring_regex(bases, _LETTERS).to_numpy(zero_copy_only=False)
+        found[~plain, 0] = self.numbers(words.filter(pa.array(~plain)), False)
+        its_bases = bases.filter(pa.array(plain)).dictionary_encode()
+        found[plain, 0] = self.numbers(its_bases.dictionary, True)[its_bases.indices.to_numpy()]
+        behind = pc.subtract(pc.utf8_length(words), pc.utf8_length(bases)).to_numpy()
+        for count in np.unique(behind[plain]).tolist():
+            if count:
+                at = plain & (behind == count)
+                marks = pc.utf8_slice_codeunits(words.filter(pa.array(at)), -count, None).dictionary_encode()
+                found[at, 1] = self.numbers(marks.dictionary, False)[marks.indices.to_numpy()]
         return found
 
-    def encoded(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return {w: np.array(x.ids, "<u4").tobytes() for w, x in zip(words, found)}
-
-    def encoded_together(self, words: list[str], count: int = 500) -> dict[str, bytes]:
-        """As ``encoded``, for words of letters only: many in one text, told apart by their last pieces."""
-        found: dict[str, bytes] = {}
+    def numbers(self, words: pa.Array, letters: bool) -> np.ndarray:
+        """Unit number of each of different ``words``; new ones are encoded, many words of ``letters`` in one call."""
+        listed = words.to_pylist()
+        fresh = [w for w in listed if w not in self.known]
+        if fresh:
+            ids, sizes = self.together(fresh) if letters else self.alone(fresh)
+            self.known.update(zip(fresh, range(len(self.sizes), len(self.sizes) + len(fresh))))
+            self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+        return np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+
+    def alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of ids of each)."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([n for ids in found for n in ids], "<u4"), np.array([len(ids) for ids in found], np.int64)
+
+    def together(self, words: list[str], count: int = 500) -> tuple[np.ndarray, np.ndarray]:
+        """As ``alone``, for words of letters only: many in one text, told apart by their last pieces."""
         groups = [words[n:n + count] for n in range(0, len(words), count)]
-        for group, x in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups],
-                                                                    add_special_tokens=False)):
+        encoded = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        found = []
+        for group, x in zip(groups, encoded):
             ids = np.array(x.ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(group):
-                found |= self.encoded(group)
-                continue
-            raw, place = ids.tobytes(), [0, *(4 * last).tolist()]
-            found.update((w, raw[place[n]:place[n + 1]]) for n, w in enumerate(group))
-        return found
+            sizes = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            found.append((ids, sizes) if len(sizes) == len(group) else self.alone(group))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 _WORDS: dict[str, WordIds] = {}
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = 1, id_col: str = "doc_id",
-           text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+           text_col: str = "text", batch_bytes: int = 8 << 20) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of all pieces of at most ``capacity`` ids.
 
     ``vocabulary`` is a path that every executor can open. A Python worker keeps its table of words for its next
