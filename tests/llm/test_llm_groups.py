@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import compare, connect
 from pyspark.sql import functions as F
@@ -64,6 +65,38 @@ def test_group_pairs_are_filtered_without_loss(spark, monkeypatch):
     assert got == {i: v for (i, _), v in brute_components(rows, 4, 85).items()}
 
 
+def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
+    """Lists of more than three classes go by pairs of blocks, and no bitmap lets a pair of the first turn pass."""
+    monkeypatch.setattr(grouped_prefix_join, "LIST", 3)
+    monkeypatch.setattr(grouped_prefix_join, "may_link", lambda *_: F.lit(False))
+    rows = texts_with_families(5)
+    docs = documents(spark, [(i, t, "s") for i, t in rows])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in grouped_prefix_join.join_components(docs, 4, 85).collect()}
+    assert got == {i: v for (i, _), v in brute_components(rows, 4, 85).items()}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_few_edges_connect_what_a_table_links(seed):
+    rng = np.random.default_rng(seed)
+    link = rng.random((40, 30)) < 0.04
+    left, right = np.arange(40), np.arange(100, 130)
+    edges = grouped_prefix_join.connected(link, left, right)
+    i, j = np.nonzero(link)
+    all_edges = list(zip(left[i].tolist(), right[j].tolist()))
+    assert set(edges) <= set(all_edges) and len(edges) <= 70
+    roots = lambda es: {x: min(c) for c in _parts(es) for x in c}
+    assert roots(edges) == roots(all_edges)
+    assert roots(grouped_prefix_join.joined_up(left[i], right[j])) == roots(all_edges)
+
+
+def _parts(edges):
+    parts = []
+    for a, b in edges:
+        near = [p for p in parts if a in p or b in p]
+        parts = [p for p in parts if p not in near] + [set().union({a, b}, *near)]
+    return parts
+
+
 def brute_links(rows, words, percent):
     """{(id, text): set}, and the pairs of different rows that link."""
     sets = [(i, t, shingle_set(t, words)) for i, t in rows if i is not None]
