@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,9 @@ from .shaping import align_schema
 # Width of a bin of lines: one bit of a bigint per line.
 BIN = 64
 
+# Line numbers are this far from 0 at most.
+FAR = 1 << 32
+
 # What the method parser calls code that is no named function.
 ANONYMOUS = "(anonymous)"
 
@@ -60,21 +64,29 @@ def changed_methods(lines: DataFrame, spans: DataFrame, file: str = "file_change
 
 
 def _touched() -> Callable[[Column, Column, Column], Column]:
-    """Arrow function (lines, starts, ends) → for each span whether it holds one of the lines."""
+    """Arrow function (lines, starts, ends) → for each span whether it holds one of the lines.
+
+    A batch is searched at once: numbers get their row's place in front, so that one sorted array holds the lines of all rows
+    and a span meets those of its own row only.
+    """
     @F.arrow_udf("array<boolean>")
     def touched(lines: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-        rows = []
-        for changed, first, last in zip(lines, starts, ends):
-            if first.as_py() is None:
-                rows.append(None)
-                continue
-            known = np.sort(np.array([x for x in changed.as_py() or () if x is not None], np.int64))
-            missing = [a is None or b is None for a, b in zip(first.as_py(), last.as_py())]
-            low, high = (np.array([0 if x is None else x for x in side.as_py()], np.int64) for side in (first, last))
-            # The first changed line from the start on must not lie behind the end.
-            hit = np.searchsorted(known, low, "left") < np.searchsorted(known, high, "right")
-            rows.append((hit & ~np.array(missing, bool)).tolist())
-        return pa.array(rows, pa.list_(pa.bool_()))
+        def keyed(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            """Keys of all numbers, and which of them are null."""
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            values = lists.flatten()
+            plain = pc.fill_null(values, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), sizes)
+            return row * (2 * FAR) + np.clip(plain, 1 - FAR, FAR - 1), pc.is_null(values).to_numpy(zero_copy_only=False)
+
+        (known, unknown), (low, no_start), (high, no_end) = keyed(lines), keyed(starts), keyed(ends)
+        known = np.sort(known[~unknown])
+        # The first changed line from the start on must not lie behind the end.
+        hit = np.searchsorted(known, low, "left") < np.searchsorted(known, high, "right")
+        sizes = pc.fill_null(pc.list_value_length(starts), 0).to_numpy(zero_copy_only=False)
+        return pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(hit & ~(no_start | no_end)),
+            mask=pc.is_null(starts))
 
     return touched
 
