@@ -56,20 +56,24 @@ def fill_missing_repos(fixes: DataFrame, repos: DataFrame) -> DataFrame:
 
 
 def prune(tables: Tables, keep_orphans: bool = False, first_git_mark: bool = False,
-          resolve: bool = True, materialise_links: bool = False) -> dict[str, DataFrame]:
+          resolve: bool = True, materialise_links: bool = False, stored: DataFrame | None = None) -> dict[str, DataFrame]:
     """The eight tables cut down to rows that hang together.
 
     ``keep_orphans`` keeps methods of files dropped as non-textual and
     ``first_git_mark`` cuts addresses at the first ``.git``, as the stored
     dataset has it (Q4, Q6). ``materialise_links`` checkpoints the pruned links,
-    which all other tables depend on; use it when all eight are written.
+    which all other tables depend on; use it when all eight are written. ``stored`` are commits of an earlier run that was
+    pruned; fixes may name them too, they are not among the result.
     """
     commits = tables["commits"]
     commits = commits.withColumn("repo_url", canonical_repo(F.col("repo_url"), first_git_mark))
     fixes = tables["fixes"]
+    known = commits.select("repo_url", "hash")
+    if stored is not None:
+        known = known.unionByName(stored.select("repo_url", "hash"))
     if resolve:
-        fixes = resolve_short_hashes(fixes, commits)
-    fixes = keep_linked(fixes, commits, "hash")
+        fixes = resolve_short_hashes(fixes, known)
+    fixes = keep_linked(fixes, known, "hash")
     if materialise_links:
         fixes = materialise(fixes)
     # The pruned fixes name loaded commits only, so they are the key set of both sides.
@@ -123,28 +127,30 @@ COUNT_RULES = (
 
 def check_counts(tables: Tables) -> DataFrame:
     """One row per rule (rule, left_count, right_count, holds); the last rule is that no file is non-textual."""
-    spark = tables["fixes"].sparkSession
-    one = spark.range(1)
-
-    def distinct(side: tuple[str, str]) -> Column:
-        table, column = side
-        return tables[table].agg(F.count_distinct(column)).scalar()
-
-    rows = None
-    for rule, left, right, relation in COUNT_RULES:
-        counted = one.select(
-            F.lit(rule).alias("rule"), distinct(left).alias("left_count"), distinct(right).alias("right_count")
-        )
-        holds = F.col("left_count") == F.col("right_count")
-        if relation == ">=":
-            holds = F.col("left_count") >= F.col("right_count")
-        counted = counted.withColumn("holds", holds)
-        rows = counted if rows is None else rows.unionAll(counted)
-    files = tables["file_change"]
-    empty = files.agg(F.count_if((F.col("num_lines_added") == 0) & (F.col("num_lines_deleted") == 0))).scalar()
-    textual = one.select(F.lit("textual_files").alias("rule"), empty.alias("left_count"),
-                         F.lit(0).cast("bigint").alias("right_count"))
-    return rows.unionAll(textual.withColumn("holds", F.col("left_count") == 0))
+    # One pass over each table counts all its keys; the rules then compare numbers of one row.
+    wanted: dict[str, list[str]] = {}
+    for _, *sides, _ in COUNT_RULES:
+        for table, column in sides:
+            if column not in wanted.setdefault(table, []):
+                wanted[table].append(column)
+    counts = []
+    for table, columns in wanted.items():
+        measures = [F.count_distinct(column).alias(column) for column in columns]
+        if table == "file_change":
+            measures.append(F.count_if((F.col("num_lines_added") == 0) & (F.col("num_lines_deleted") == 0)).alias("empty"))
+        counts.append(tables[table].agg(F.struct(*measures)).scalar().alias(table))
+    known = tables["fixes"].sparkSession.range(1).select(*counts)
+
+    def rule(name: str, left: Column, right: Column, holds: Column) -> Column:
+        return F.struct(F.lit(name).alias("rule"), left.alias("left_count"), right.alias("right_count"), holds.alias("holds"))
+
+    rules = []
+    for name, left, right, relation in COUNT_RULES:
+        one, other = (F.col(table)[column] for table, column in (left, right))
+        rules.append(rule(name, one, other, one >= other if relation == ">=" else one == other))
+    empty = F.col("file_change.empty")
+    rules.append(rule("textual_files", empty, F.lit(0).cast("bigint"), empty == 0))
+    return known.select(F.explode(F.array(*rules)).alias("r")).select("r.*")
 
 
 def table_counts(tables: Tables) -> DataFrame:

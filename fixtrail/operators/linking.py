@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import with_git_suffix
+from .key_filter import key_cascade
 from .shaping import distinct_on
 
 # Fixed value: address of a commit on one of three hosts. Of several addresses in a
@@ -130,6 +131,20 @@ def pending_fixes(fixes: DataFrame, commits: DataFrame) -> DataFrame:
     return fixes.join(commits.select("hash").distinct(), "hash", "left_anti").select(*fixes.columns)
 
 
+def pending_rows(rows: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
+    """L7 for wide rows: those whose ``key`` is not among the loaded ones, decided in the row, without moving it.
+
+    Keys meet keys first. What of them is loaded then goes to all tasks as a cascade of bit filters that is exact on the
+    keys of ``rows``. Where more keys are loaded than the filters may hold, rows are shuffled.
+    """
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    known = keys.join(loaded.select(key).distinct(), key, "left_semi")
+    cascade = key_cascade(known, keys.join(known, key, "left_anti"), key)
+    if cascade is None:
+        return rows.join(loaded.select(key).distinct(), key, "left_anti").select(*rows.columns)
+    return rows.where(~cascade(F.col(key)))
+
+
 def work_units(fixes: DataFrame, batch: int = 500) -> DataFrame:
     """Per repository the distinct hashes to load, in sorted lists.
 

@@ -10,8 +10,7 @@ import argparse
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import changes, integrity, linking
 from ..operators.shaping import align_schema
@@ -41,16 +40,14 @@ def collect(items: DataFrame, catalog: DataFrame, snapshots: DataFrame, probe_lo
     if sample_limit:
         fixes = linking.sample_fixes(fixes, sample_limit)
     if loaded is not None:
-        snapshots = linking.pending_fixes(snapshots, loaded)
+        snapshots = linking.pending_rows(snapshots, loaded, "hash")
 
     files = changes.changed_files(snapshots)
     # Labelled where the text is read; a join would move whole sources.
     language = changes.language_of(language_model) if language_model is not None else None
     file_change = changes.file_rows(snapshots, language)
-    # Maintainability compares whole files, so it also needs the methods a change left alone.
-    all_methods = changes.method_rows(files, changed_only=False).withColumn(
-        "parameter_count", F.coalesce(F.size("parameters"), F.lit(0)))
-    dmm = changes.maintainability(all_methods, file_change)
+    # Maintainability compares whole files, so it also needs the methods a change left alone; their numbers will do.
+    dmm = changes.nested_maintainability(files)
     repos = linking.attach_repo_meta(fixes, repo_meta) if repo_meta is not None else fixes.select("repo_url").limit(0)
     return {
         "cve": cve,
@@ -72,26 +69,25 @@ NARROW_KEYS = {
 
 
 def extend(old: dict[str, DataFrame], new: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The tables of an earlier run with what a new run collected.
+    """What a new run writes: the narrow tables of an earlier run merged with its own by key.
 
-    Commits, files and methods of the new run are of commits that were not loaded, so they are appended without a look
-    at the old ones; the narrow tables are merged by key.
+    Commits, files and methods of the new run are of commits that were not loaded, so the earlier ones stay where they are.
     """
-    merged = {}
-    for name, table in new.items():
-        before = old[name]
-        if keys := NARROW_KEYS.get(name):
-            before = before.join(table.select(*keys).distinct(), keys, "left_anti").select(*old[name].columns)
-        merged[name] = table.unionByName(before)
+    merged = dict(new)
+    for name, keys in NARROW_KEYS.items():
+        before = old[name].join(new[name].select(*keys).distinct(), keys, "left_anti").select(*old[name].columns)
+        merged[name] = new[name].unionByName(before)
     return merged
 
 
 def build_dataset(root: str, previous: str | None = None, **sources) -> dict[str, DataFrame]:
     """Collect, prune and write the eight tables below the new folder ``root``; returns them as read back.
 
-    With ``previous``, the folder of an earlier run, its commits are not collected again and its rows go into the new
-    tables. The tables are written beside ``root`` and checked there; a broken key or count rule raises
-    ``ValueError``, and ``root`` comes into being only when all is well, at once. The folder of the earlier run stays.
+    With ``previous``, the folder of an earlier run, its commits are not collected again. Its commits, files and methods are not
+    written again either: the manifest of ``root`` names their folders beside the new ones, so a run costs what it adds;
+    the narrow tables are merged and written whole. The folder of the earlier run must stay, or be copied together with the
+    new one by :func:`compact`. The tables are written beside ``root`` and checked there; a broken key or count rule raises
+    ``ValueError``, and ``root`` comes into being only when all is well, at once.
     """
     spark = sources["items"].sparkSession
     if tables.table_exists(spark, f"{root}/cve"):
@@ -103,21 +99,35 @@ def build_dataset(root: str, previous: str | None = None, **sources) -> dict[str
     sources["snapshots"] = materialise(sources["snapshots"])
     print("Dates that could not be read, by column:")
     feed.malformed_dates(sources["items"]).show()
+    earlier: dict[str, list[str]] = {}
     if previous:
         old = tables.load_tables(spark, previous)
+        earlier = {name: folders for name, folders in tables.live_folders(spark, previous).items()
+                   if name not in NARROW_KEYS}
         merged = extend(old, collect(**sources, loaded=old["commits"]))
-    else:
-        merged = collect(**sources)
-    pruned = integrity.prune(merged, materialise_links=True)
-    if previous:
+        pruned = integrity.prune(merged, materialise_links=True, stored=old["commits"])
         pruned["fixes"] = pruned["fixes"].distinct()
+    else:
+        pruned = integrity.prune(collect(**sources), materialise_links=True)
     staged = f"{root.rstrip('/')}-staged-{uuid.uuid4().hex}"
     tables.write_tables({name: pruned[name] for name in TABLES}, staged)
+    if earlier:
+        tables.write_manifest(spark, staged, earlier)
     integrity.verify(tables.load_tables(spark, staged))
     tables.publish(spark, staged, root)
     return tables.load_tables(spark, root)
 
 
+def compact(spark: SparkSession, root: str, target: str) -> dict[str, DataFrame]:
+    """Write all tables of ``root``, those of earlier runs among them, below the new folder ``target``."""
+    if tables.table_exists(spark, f"{target}/cve"):
+        raise FileExistsError(target)
+    staged = f"{target.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    tables.write_tables(tables.load_tables(spark, root), staged)
+    tables.publish(spark, staged, target)
+    return tables.load_tables(spark, target)
+
+
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Build the eight tables.")
     parser.add_argument("--feed", nargs="+", required=True, help="advisory feed files, or any JSON file of that form")
@@ -132,7 +142,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--first-year", type=int, help="advisories from this year on, else of all years")
     parser.add_argument("--last-year", type=int, help="advisories up to this year; with --first-year alone, up to now")
     parser.add_argument("--sample-year", action="store_true", help="advisories of this year only")
-    parser.add_argument("--previous", help="folder of an earlier run to extend; it stays as it is")
+    parser.add_argument("--previous", help="folder of an earlier run to extend; the new one refers to its files")
     parser.add_argument("--output", required=True, help="new folder for the tables")
     given = parser.parse_args(arguments)
 

@@ -11,9 +11,34 @@ from ..operators.shaping import distinct_on
 from ..schemas import TABLES
 
 
+MANIFEST = "manifest"
+
+
+def write_manifest(spark: SparkSession, root: str, earlier: Mapping[str, Sequence[str]]) -> None:
+    """Name the folders of earlier runs that belong to tables of ``root`` beside those below it."""
+    rows = [(name, folder) for name, folders in earlier.items() for folder in folders]
+    spark.createDataFrame(rows, "name string, folder string").coalesce(1).write.mode("errorifexists") \
+        .json(f"{root}/{MANIFEST}")
+
+
+def live_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """The folders of each table of ``root``, those of earlier runs first, as full paths."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders: dict[str, list[str]] = {name: [] for name in TABLES}
+    if system.exists(path(f"{root}/{MANIFEST}")):
+        # One row per table and run.
+        for row in spark.read.schema("name string, folder string").json(f"{root}/{MANIFEST}").collect():
+            folders[row["name"]].append(row["folder"])
+    for name, listed in folders.items():
+        listed.append(system.makeQualified(path(f"{root}/{name}")).toString())
+    return folders
+
+
 def load_tables(spark: SparkSession, root: str, views: bool = False) -> dict[str, DataFrame]:
-    """All eight tables below ``root``; ``views`` also registers them for SQL."""
-    tables = {name: spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in TABLES.items()}
+    """All eight tables of ``root``, by its manifest if it has one; ``views`` also registers them for SQL."""
+    tables = {name: spark.read.schema(TABLES[name]).parquet(*folders)
+              for name, folders in live_folders(spark, root).items()}
     if views:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)

@@ -190,6 +190,31 @@ def test_two_runs_equal_one(spark, inputs, rows):
         assert rows(extended[name]) == rows(at_once[name]), name
 
 
+def test_a_second_run_writes_only_its_own_files(spark, inputs, rows):
+    """Wide tables of earlier runs stay where they are; the manifest names them, over several runs."""
+    runs = [str(inputs / f"run{n}") for n in range(3)]
+    one = dataset.build_dataset(runs[0], **sources(spark, inputs, slice(0, 3), slice(0, 2)))
+    before = {name: rows(table) for name, table in one.items()}
+    two = dataset.build_dataset(runs[1], previous=runs[0], **sources(spark, inputs, slice(2, 5), slice(1, 3)))
+    three = dataset.build_dataset(runs[2], previous=runs[1], **sources(spark, inputs, slice(0, 5), slice(2, 4)))
+    assert "manifest" not in {p.name for p in (inputs / "run0").iterdir()}
+    for name in ("commits", "file_change", "method_change"):
+        listed = tables.live_folders(spark, runs[2])[name]
+        assert [folder.rsplit("/", 2)[1] for folder in listed] == ["run0", "run1", "run2"]
+        own = [rows(spark.read.schema(TABLES[name]).parquet(folder)) for folder in listed]
+        # No row is written twice, and the folders together are the table.
+        assert sorted(sum(own, []), key=repr) == rows(three[name])
+        assert not set(map(repr, own[0])) & set(map(repr, own[1] + own[2]))
+        assert sorted(own[0] + own[1], key=repr) == rows(two[name])
+    compacted = dataset.compact(spark, runs[2], str(inputs / "compacted"))
+    for name in TABLES:
+        assert rows(three[name]) == rows(compacted[name]), name
+        assert len(tables.live_folders(spark, str(inputs / "compacted"))[name]) == 1
+    assert {name: rows(table) for name, table in tables.load_tables(spark, runs[0]).items()} == before
+    with pytest.raises(FileExistsError):
+        dataset.compact(spark, runs[2], str(inputs / "compacted"))
+
+
 def test_a_failing_check_publishes_nothing(spark, inputs, monkeypatch):
     first, second = str(inputs / "first"), str(inputs / "second")
     dataset.build_dataset(first, **sources(spark, inputs))

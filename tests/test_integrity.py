@@ -1,3 +1,5 @@
+import re
+
 from fixtrail.operators import integrity as P
 
 
@@ -64,3 +66,16 @@ def test_key_checks(spark, rows):
 def test_unknown_line_counts_stay(spark):
     files = spark.createDataFrame([(None, 0), (0, 0), (0, 1)], "num_lines_added int, num_lines_deleted int")
     assert P.drop_non_textual(files).count() == 2
+
+
+def test_count_rules_read_each_table_once(spark, tmp_path):
+    from fixtrail.schemas import TABLES
+
+    for name, schema in TABLES.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in TABLES}
+    counted = P.check_counts(stored)
+    # Each table is read by one subquery, whatever the number of rules that ask for it.
+    optimized = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert len(set(re.findall(r"scalar-subquery#(\d+)", optimized))) == len(TABLES)
+    assert [r.holds for r in counted.collect()] == [True] * 8
