@@ -1,5 +1,6 @@
 """Classifiers on held-out rows, WARC round trip, the pipeline's stages."""
 
+from html.parser import HTMLParser
 import zlib
 
 import pytest
@@ -103,3 +104,46 @@ def test_queries_are_registered():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+
+
+class _PlainText(HTMLParser):
+    """The visible text as a parser sees it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.parts = 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "head")
+        self.parts += ["\n"] * (tag in ("p", "div", "br", "li", "h1"))
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "head")
+        self.parts += ["\n"] * (tag in ("p", "div", "li", "h1"))
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts.append(data.replace("\xa0", " "))
+
+
+def test_plain_text_is_what_a_parser_sees(spark):
+    page = ("<html lang=\"fr\"><head><title>Caf&eacute;\n &mdash; menu</title><style>p {}</style></head><body><!-- <p>no</p> -->"
+            "<h1>Caf&eacute; &mdash; &#8217;x&#x27;</h1><p>a &hellip;&nbsp; b &amp;lt; 3 &lt; 4</p><script>if (a<b) {}</script>"
+            "<div>  long   \t line </div><li>end&copy;</li></body></html>")
+    pages = [page, "no marks & none", "", None, "<p>" + "word &amp; " * 200_000 + "</p>"]
+    table = spark.createDataFrame(
+        [(n, "http://x/\r\nWARC-Type: forged", p, "b", "c", 3) for n, p in enumerate(pages)],
+        "page_id bigint, url string, html string, block string, record_id string, links int")
+    records = warc_derivatives.derivatives(warc_derivatives.responses(table))
+    got = {r.page_id: r.block for r in records.where("record_type = 'conversion'").collect()}
+    for n, whole in enumerate(pages):
+        parser = _PlainText()
+        parser.feed(whole or "")
+        parser.close()
+        want = "\n".join(x for x in (" ".join(line.split()) for line in "".join(parser.parts).split("\n")) if x)
+        assert got[n] == want
+    assert "Café — ’x'" in got[0] and "&lt; 3 < 4" in got[0]
+    fields = records.where("record_type = 'metadata' AND page_id = 0").first().block
+    assert fields.startswith("title: Café — menu\r\n")
+    header = warc_derivatives.serialised(records.where("page_id = 0")).first().value
+    assert "\r\nWARC-Type: forged" not in header and "%0D%0AWARC-Type" in header
