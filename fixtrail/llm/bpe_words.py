@@ -72,6 +72,14 @@ def special_of(path: str) -> str | None:
     return added[0]["content"] if added else None
 
 
+class Numbers(dict):
+    """word → its number, in the order in which words are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def split(docs: DataFrame, vocabulary: str, block_bytes: int, words: bool) -> DataFrame:
     """Blocks of documents; with ``words`` their distinct words, without them the numbers of words.
 
@@ -82,17 +90,17 @@ def split(docs: DataFrame, vocabulary: str, block_bytes: int, words: bool) -> Da
         special, part = special_of(vocabulary), TaskContext.get().partitionId()
         ids: list[int | None] = []
         coded: list[np.ndarray] = []
-        known: dict[str, int] = {}
+        known = Numbers()
         room = made = 0
         for batch in byte_sliced(batches, "text", 1 << 20):
             ids += batch.column("doc_id").to_pylist()
             for text in batch.column("text").to_pylist():
                 found = text_words(text, special)
-                coded.append(np.fromiter((known.setdefault(w, len(known)) for w in found), np.uint32, len(found)))
+                coded.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
                 room += len(text)
             if room >= block_bytes:
                 yield _block(ids, coded, known, (part, made), words)
-                ids, coded, known, room, made = [], [], {}, 0, made + 1
+                ids, coded, known, room, made = [], [], Numbers(), 0, made + 1
         if ids:
             yield _block(ids, coded, known, (part, made), words)
 
