@@ -38,9 +38,8 @@ def without_marks(page: Column) -> Column:
     return page
 
 
-@F.arrow_udf("string")
-def readable(texts: pa.Array) -> pa.Array:
-    """Texts with all character references decoded once, blanks run together and empty lines left out."""
+def readable(text: Column) -> Column:
+    """A text with all character references decoded once, blanks run together and empty lines left out."""
     def lines(text: str) -> bytes:
         if "&" in text:
             text = html.unescape(_NO_BREAK.sub(" ", text))
@@ -48,7 +47,11 @@ def readable(texts: pa.Array) -> pa.Array:
         parts = (b" ".join(line.split()) for line in text.encode("utf-8", "replace").split(b"\n"))
         return b"\n".join(filter(None, parts))
 
-    return pa.array([None if text is None else lines(text) for text in texts.to_pylist()], pa.binary()).cast(pa.string())
+    @F.arrow_udf("string")
+    def decoded(texts: pa.Array) -> pa.Array:
+        return pa.array([None if text is None else lines(text) for text in texts.to_pylist()], pa.binary()).cast(pa.string())
+
+    return decoded(text)
 
 
 def plain_text(page: Column) -> Column:
