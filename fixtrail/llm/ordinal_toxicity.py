@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -179,12 +178,14 @@ def _decide(texts: list[str], hasher: PrefixHasher, model: OrdinalModel, reject_
 
 def drop_toxic(docs: DataFrame, model: OrdinalModel, reject_from: float = REJECT_FROM) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns; decided in the row, without a join."""
-    @F.pandas_udf("boolean")
-    def rejected(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def rejected(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = PrefixHasher(BUCKETS)
         for texts in parts:
-            found = [_decide(texts.iloc[at:at + 500].tolist(), hasher, model, reject_from)[2]
+            found = [_decide(texts.slice(at, 500).to_pylist(), hasher, model, reject_from)[2]
                      for at in range(0, len(texts), 500)]
-            yield pd.Series(np.concatenate(found) if found else np.zeros(0, bool))
+            yield pa.array(np.concatenate(found) if found else np.zeros(0, bool))
+        # The worker lives on and serves other stages.
+        pa.default_memory_pool().release_unused()
 
     return docs.where(~rejected(whole_text()))
