@@ -24,8 +24,16 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Bound the bytes of Arrow batches for this session, unless it has a bound; a longer row is a batch of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(limit))
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only ``doc_id`` (bigint) and ``text`` (never null), whatever else the input has."""
+    """Only ``doc_id`` (bigint) and ``text`` (never null), whatever else the input has; batches of texts get bounded."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).alias("text"))
 
 
