@@ -79,7 +79,7 @@ class Model:
             near = block @ self.vectors.T
             k = min(self.neighbours, near.shape[1])
             least = np.partition(near, near.shape[1] - k, axis=1)[:, -k][:, None]
-            # Squares set near voters further apart; a negative cosine has no vote.
+            # Fourth powers set near voters further apart; a negative cosine has no vote.
             weight = np.where(near >= least, np.maximum(near, 0.0) ** 4, 0.0) * self.weights
             total = weight.sum(axis=1)
             share = np.divide(weight @ self.votes, total, out=np.full(len(total), self.prior), where=total > 0)
@@ -91,10 +91,10 @@ def draw(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: str) -
     """(texts with labels of the sample, number of rows of each label).
 
     At most ``most`` rows of each label, those with the least hash of id; their number bounds what is broadcast and
-    what comes to the driver.
+    what comes to the driver. Of a repeated id the greatest label counts and the least text.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("_id"), F.col(label).cast("int").alias("_label")) \
-        .where("_id IS NOT NULL AND _label IN (0, 1)").dropDuplicates(["_id"])
+        .where("_id IS NOT NULL AND _label IN (0, 1)").groupBy("_id").agg(F.max("_label").alias("_label"))
     sizes = {int(k): n for k, n in known.groupBy("_label").count().collect()}
     order = F.md5(F.concat(F.lit(seed), F.col("_id").cast("string")))
     chosen = None
@@ -103,7 +103,7 @@ def draw(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: str) -
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = (
         id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-        .dropDuplicates(["doc_id"]).select("doc_id", "text", "_label")
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_label").alias("_label"))
     )
     return rows, sizes
 

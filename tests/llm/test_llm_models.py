@@ -1,5 +1,6 @@
 """Classifiers on held-out rows, WARC round trip, the pipeline's stages."""
 
+import re
 import zlib
 from html.parser import HTMLParser
 
@@ -44,6 +45,50 @@ def test_toxicity_of_held_out_rows(spark):
         {r.doc_id for r in graded.where("NOT rejected").collect()}
 
 
+def test_severity_is_the_plain_cumulative_link(spark):
+    """All rows against the model's formula, a word at a time."""
+    import math
+
+    import xxhash
+
+    docs = table(spark, "documents").select("doc_id", "text")
+    model = ordinal_toxicity.fit(docs, table(spark, "labels"))
+    buckets = len(model.weights)
+    got = {r.doc_id: r for r in ordinal_toxicity.grade(docs, model).collect()}
+    for row in docs.collect():
+        words = re.findall(r"\w+", (row.text or "").lower())
+        marks = {w for w in words} | {f"{w[:n]}-" for w in words for n in (4, 5, 6, 7) if n < len(w)}
+        places = {xxhash.xxh3_64_intdigest(m) % buckets for m in marks}
+        pull = math.fsum(model.weights[p] for p in places)
+        above = [1 / (1 + math.exp(threshold - pull)) for threshold in model.thresholds]
+        one = got[row.doc_id]
+        assert (one.p_toxic, one.p_severe, one.severity) == pytest.approx((above[0], above[1], sum(above)), abs=1e-9)
+        if abs(sum(above) - ordinal_toxicity.REJECT_FROM) > 1e-9:
+            assert one.rejected == (bool(places) and sum(above) >= ordinal_toxicity.REJECT_FROM)
+
+
+def test_votes_are_those_of_a_plain_neighbour_search(spark):
+    """All rows against a search that sorts every voter by its cosine, one document at a time."""
+    import numpy as np
+
+    docs = table(spark, "documents").select("doc_id", "text")
+    model = quality_neighbours.fit(docs, table(spark, "labels").where(queries.fold(F.col("doc_id")) != 0))
+    got = {r.doc_id: r.score for r in quality_neighbours.score_documents(docs, model).collect()}
+    vectorizer = quality_neighbours.Vectorizer()
+    for row in docs.collect():
+        place = model.latent(vectorizer([row.text or ""]))[0]
+        near = sorted((float(np.dot(place, v)), i) for i, v in enumerate(model.vectors))[::-1]
+        # Voters as near as the last neighbour vote too, up to rounding.
+        last = near[model.neighbours - 1][0]
+        sums = []
+        for slack in (-1e-5, 1e-5):
+            chosen = [(max(c, 0.0) ** 4 * model.weights[i], model.votes[i]) for c, i in near if c >= last + slack]
+            total = sum(w for w, _ in chosen)
+            sums.append(sum(w * v for w, v in chosen) / total if total else model.prior)
+        want = sums if place.any() else [model.prior] * 2
+        assert min(want) - 1e-3 <= got[row.doc_id] <= max(want) + 1e-3
+
+
 @pytest.mark.parametrize("labels", [[], [(0, 0, 1), (None, 1, 0), (999, 1, 1)]])
 def test_models_of_odd_tables(spark, labels):
     docs = documents(spark, odd_rows())
@@ -103,7 +148,7 @@ def test_stages_take_odd_tables(spark):
 def test_queries_are_registered():
     names = set(entry.queries())
     assert {"pipeline", *queries.QUERIES} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 class _PlainText(HTMLParser):
