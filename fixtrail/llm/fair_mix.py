@@ -6,7 +6,7 @@ sources are put in one order by finish time, and the queue is cut where its tota
 whose target is above its size is queued up to three times.
 
 Only DataFrame operations run. Running totals go through range partitions with offsets, so a source with most of the
-rows spreads over many tasks; two of them are taken, over ids and numbers alone, never over texts.
+rows spreads over many tasks; two of them are taken, over ids and numbers alone, never over texts, which are read once for their sizes.
 
 Defined results: a null or blank text has size 0 and nothing is taken of it; the null source is a
 source, last in order; repeated rows count and queue each on its own; a source without words has target 0; extra
@@ -67,6 +67,8 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_P
 
     ``passes`` is how often the mix takes the document, ``taken`` its words times that.
     """
+    # Sizes are read from the texts once; all below reads ids, sources and numbers.
+    sized = materialise(sized.select("doc_id", "source", "size"))
     targets = source_targets(sized, weights, most)
     shuffled = sized.withColumn("mixed", F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"),
                                                                               F.lit("")))))
