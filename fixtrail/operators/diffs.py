@@ -80,13 +80,15 @@ def unmatched_lines(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _lines_of_pairs(pairs: DataFrame, keys: Sequence[str], before: str, after: str) -> DataFrame:
-    """(keys…, before_change, pos, line) from rows with both texts; one row of NULLs where both are empty."""
+    """(keys…, before_change, pos, line) from rows with both texts; one row of NULLs where both are empty or equal."""
     def side(text: str, flag: bool) -> Column:
         whole = text_lines(F.coalesce(F.col(text), F.lit("")))
         return F.transform(whole, lambda line, at: F.struct(
             F.lit(flag).alias("before_change"), at.alias("pos"), line.alias("line")))
 
-    lines = pairs.select(*keys, F.explode_outer(F.concat(side(before, True), side(after, False))).alias("_l"))
+    # Equal texts have no changed line, so their lines need not be made.
+    both = F.when(~F.col(before).eqNullSafe(F.col(after)), F.concat(side(before, True), side(after, False)))
+    lines = pairs.select(*keys, F.explode_outer(both).alias("_l"))
     return lines.select(*keys, "_l.before_change", "_l.pos", "_l.line")
 
 
@@ -152,29 +154,43 @@ def pair_adjacent(methods: DataFrame, order: Sequence[str], descending: Sequence
     """Rows 2k and 2k+1 of the whole order, where both have the same file and name (Q13).
 
     ``order`` names columns with a total order, ``descending`` those of them that
-    fall. The rows are numbered in range partitions, not in one task.
+    fall; ``method_change_id`` is the key of the methods. The rows are numbered in range partitions, not in
+    one task, by their ids and order alone. The pairs then meet their code on one layout by file and name, so code passes
+    one exchange.
     """
-    needed = dict.fromkeys(("file_change_id", "name", "method_change_id", "code", *order))
+    keys = ["file_change_id", "name"]
     sorting = [F.desc(column) if column in descending else F.col(column) for column in order]
-    placed = running_total(methods.select(*needed), sorting, "_at")
-    row = F.struct("_at", "file_change_id", "name", "method_change_id", "code")
+    placed = running_total(methods.select(*dict.fromkeys((*keys, "method_change_id", *order))), sorting, "_at")
+    row = F.struct("_at", *keys, "method_change_id")
     pairs = placed.groupBy(F.floor((F.col("_at") - 1) / 2).alias("pair")).agg(
         F.min(row).alias("_f"), F.max(row).alias("_s"), F.count("*").alias("_n")
     )
-    return pairs.where("_n = 2 AND _f.file_change_id = _s.file_change_id AND _f.name = _s.name").select(
+    sides = pairs.where("_n = 2 AND _f.file_change_id = _s.file_change_id AND _f.name = _s.name").select(
         "pair", "_f.file_change_id", "_f.name",
-        F.col("_f.method_change_id").alias("first_id"), F.col("_s.method_change_id").alias("second_id"),
-        F.col("_f.code").alias("first_code"), F.col("_s.code").alias("second_code"),
+        F.posexplode(F.array("_f.method_change_id", "_s.method_change_id")).alias("_side", "method_change_id"),
+    )
+    # Places and texts of a method meet in a window instead of a join, whose layout would be by method.
+    met = methods.select(*keys, "method_change_id", "code").unionByName(sides, allowMissingColumns=True)
+    same = Window.partitionBy(*keys, "method_change_id")
+    version = F.struct(F.col("method_change_id").alias("id"), F.col("code").alias("code"))
+    return (
+        met.repartition(*keys).withColumn("code", F.max("code").over(same)).where("pair IS NOT NULL")
+        .groupBy(*keys, "pair")
+        .agg(*[F.max(F.when(F.col("_side") == n, version)).alias(f"_{n}") for n in (0, 1)])
+        .select("pair", *keys, F.col("_0.id").alias("first_id"), F.col("_1.id").alias("second_id"),
+                F.col("_0.code").alias("first_code"), F.col("_1.code").alias("second_code"))
     )
 
 
 def method_patches(methods: DataFrame, files: DataFrame, language: str) -> DataFrame:
     """(file_change_id, name, occurrence, diff_added, diff_deleted) for each paired method of a language.
 
-    Pairs with equal code give two empty texts. Code is shuffled once, by file:
-    the language join, the pairing and the line windows all run on that layout.
+    Pairs with equal code give two empty texts without a look at their lines. Code is shuffled once, by file:
+    the language join, the pairing and the line windows all run on that layout. On large tables the session's runtime
+    filters (``session.SETTINGS``) drop most other languages' code before that shuffle.
     """
-    chosen = files.where(F.col("programming_language") == language).select("file_change_id").distinct()
+    # Not made distinct: a runtime filter is not built over an aggregate.
+    chosen = files.where(F.col("programming_language") == language).select("file_change_id")
     narrow = methods.select("file_change_id", "name", "before_change", "start_line", "method_change_id", "code")
     placed = narrow.repartition("file_change_id").join(chosen, "file_change_id", "left_semi")
     keys = ["file_change_id", "name", "occurrence"]

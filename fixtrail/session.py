@@ -15,6 +15,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split skewed join partitions even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Bloom filters of a join's selective side drop rows of a large other side before they are shuffled. A filter has at
+    # most about 4 MB, whatever the tables; keys beyond its size only let more rows through.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
     # Whole texts go to Python workers in small batches.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
