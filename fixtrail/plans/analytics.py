@@ -18,6 +18,7 @@ from ..functions.paths import last_segment
 from ..functions.text import days_between, decode, mean_above_zero, mean_as_stored, stored_number
 from ..operators.shaping import fill_null, replace_all_strings, round_all
 from ..ranking import running_total
+from ..session import materialise
 
 Tables = Mapping[str, DataFrame]
 
@@ -165,7 +166,19 @@ def weakness_summary(t: Tables) -> DataFrame:
     each weakness's distinct commits; a file belongs to one commit and a method
     to one file, so the sums are the distinct counts. Commits without files count.
     """
-    loaded = t["commits"].select("hash").distinct()
+    files = t["file_change"].select("hash", "file_change_id").distinct()
+    methods = (
+        t["method_change"].select("file_change_id", "method_change_id").distinct()
+        .groupBy("file_change_id").agg(F.count("method_change_id").alias("_methods"))
+    )
+    per_commit = files.join(methods, "file_change_id", "left").groupBy("hash").agg(
+        F.count("file_change_id").alias("_files"), F.sum("_methods").alias("_methods")
+    )
+    return _count_weaknesses(t, t["commits"].select("hash").distinct(), per_commit)
+
+
+def _count_weaknesses(t: Tables, loaded: DataFrame, per_commit: DataFrame) -> DataFrame:
+    """A9 from the distinct hashes of the commits and ``per_commit`` (hash, _files, _methods)."""
     links = (
         t["fixes"].select("cve_id", "hash").distinct()
         .join(loaded, "hash", "left_semi")
@@ -176,14 +189,6 @@ def weakness_summary(t: Tables) -> DataFrame:
         classes.join(links.select("cve_id").distinct(), "cve_id", "left_semi")
         .groupBy("cwe_id").agg(F.count("*").alias("cve_count"))
     )
-    files = t["file_change"].select("hash", "file_change_id").distinct()
-    methods = (
-        t["method_change"].select("file_change_id", "method_change_id").distinct()
-        .groupBy("file_change_id").agg(F.count("method_change_id").alias("_methods"))
-    )
-    per_commit = files.join(methods, "file_change_id", "left").groupBy("hash").agg(
-        F.count("file_change_id").alias("_files"), F.sum("_methods").alias("_methods")
-    )
     # Laid out by commit once, for the distinct and for the join.
     commits = classes.join(links, "cve_id").select("cwe_id", "hash").repartition("hash").distinct()
     counted = commits.join(per_commit, "hash", "left").groupBy("cwe_id").agg(
@@ -218,9 +223,44 @@ def _share(part: Column, whole: Column) -> Column:
     return F.round(part / F.nullif(whole, F.lit(0)) * 100, 6)
 
 
+def commit_fold(t: Tables) -> DataFrame:
+    """One row per hash of commits or files: numbers of commit, file and method rows, and of distinct files and methods.
+
+    (hash, commits, files, methods, file_ids, method_ids); files and methods without an id are not counted.
+    """
+    def rows_with(key: str) -> Column:
+        return F.sum(F.when(F.col(key).isNotNull(), F.col("_rows")))
+
+    methods = (
+        t["method_change"].groupBy("file_change_id", "method_change_id").agg(F.count("*").alias("_rows"))
+        .groupBy("file_change_id").agg(rows_with("method_change_id").alias("_methods"),
+                                       F.count("method_change_id").alias("_method_ids"))
+    )
+    files = t["file_change"].groupBy("file_change_id", "hash").agg(F.count("*").alias("_rows"))
+    per_file = files.join(methods, "file_change_id", "left").groupBy("hash").agg(
+        rows_with("file_change_id").alias("files"), F.sum(F.col("_rows") * F.col("_methods")).alias("methods"),
+        F.count("file_change_id").alias("file_ids"), F.sum("_method_ids").alias("method_ids"),
+    )
+    commits = t["commits"].groupBy("hash").agg(F.count("*").alias("commits"))
+    both = commits.unionByName(per_file, allowMissingColumns=True)
+    names = ("commits", "files", "methods", "file_ids", "method_ids")
+    return both.groupBy("hash").agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+
+
 def top_share(t: Tables, limit: int = 10) -> DataFrame:
-    """A10: percent of advisories, commits, files and methods held by the top projects and the top weaknesses."""
-    weaknesses = weakness_summary(t)
+    """A10: percent of advisories, commits, files and methods held by the top projects and the top weaknesses.
+
+    Commits, files and methods are folded once to a row per commit, written while the plan is built; projects, weaknesses
+    and the number of commits are taken from that table.
+    """
+    fold = materialise(commit_fold(t))
+    loaded = fold.where("commits > 0 AND hash IS NOT NULL")
+    weaknesses = _count_weaknesses(t, loaded.select("hash"), loaded.select(
+        "hash", F.col("file_ids").alias("_files"), F.col("method_ids").alias("_methods")))
+    fixes = t["fixes"].groupBy("repo_url", "hash").agg(F.count("*").alias("_fixes"))
+    projects = fixes.join(loaded, "hash").groupBy("repo_url").agg(*[
+        F.sum(F.col("_fixes") * F.col("commits") * rows).alias(count)
+        for count, rows in zip(COUNTS, (F.lit(1), F.col("files"), F.col("methods")))])
 
     def scalar(df: DataFrame) -> Column:
         return df.scalar()
@@ -233,13 +273,13 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     spark = t["fixes"].sparkSession
     parts = spark.range(1).select(
         _top_sum(cve_cwe_per_project(t), "cve_count", "projects", limit).scalar().alias("_p_cve"),
-        scalar(_top_sums(project_counts(t), limit).select(F.struct(*COUNTS))).alias("_p"),
+        scalar(_top_sums(projects, limit).select(F.struct(*COUNTS))).alias("_p"),
         weak.alias("_w"),
         sizes("cve", "cve_id").alias("_cve"),
         sizes("file_change", "file_change_id").alias("_file"),
         sizes("method_change", "method_change_id").alias("_method"),
-        scalar(_links(t).agg(F.sum("links"))).alias("_linked"),
-        scalar(t["commits"].agg(F.count("*"))).alias("_commits"),
+        scalar(projects.agg(F.sum("commit_count"))).alias("_linked"),
+        scalar(fold.agg(F.sum("commits"))).alias("_commits"),
     )
     c = F.col
     return parts.select(

@@ -60,6 +60,7 @@ CASES = {
     "method_count": (A.method_count, Q.METHOD_COUNT),
     "cve_cwe": (A.cve_cwe_per_project, Q.CVE_CWE),
     "weaknesses": (A.weakness_summary, Q.WEAKNESSES),
+    "shares": (A.top_share, Q.TOP_SHARE),
     "scores": (lambda t: A.project_scores(t, Q.D), Q.PROJECT_SCORES),
     "days": (lambda t: A.days_to_fix(t, Q.D), Q.DAYS_TO_FIX),
     "dmm": (lambda t: A.project_dmm(t, Q.D).withColumn("avg_unit_score", F.round("avg_unit_score", 12)),
@@ -169,3 +170,51 @@ def test_hot_repository_in_links(spark, rows):
         spark.createDataFrame(fixes, "cve_id string, hash string, repo_url string"),
         spark.createDataFrame(commits, "hash string, repo_url string"), strict=True))
     assert got == sorted(((c, h + "full", r) for c, h, r in fixes), key=repr)
+
+
+def scanned(text):
+    """{table: number of distinct scans of a stored table}; subqueries that are used twice are printed twice."""
+    found = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*/(\w+)\]", text)
+    return {table: len({columns for columns, other in found if other == table}) for _, table in found}
+
+
+def test_shares_fold_files_and_methods_once(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fold, whole = scanned(plan(A.commit_fold(stored))), scanned(plan(A.top_share(stored)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert fold == {"commits": 1, "file_change": 1, "method_change": 1}
+    # Besides the fold only the distinct totals read files and methods.
+    assert whole["file_change"] == whole["method_change"] == 1 and "commits" not in whole
+
+
+def test_adjacent_pairs_move_code_once(spark):
+    from fixtrail.operators.diffs import pair_adjacent
+
+    from test_changes import versions
+
+    text = plan(pair_adjacent(versions(spark), ["file_change_id", "method_change_id"]))
+    assert len(re.findall(r"Exchange hashpartitioning\(file_change_id#\d+, name#\d+, 8\)", text)) == 1
+    # What was range shuffled and written to number the rows has no code.
+    written = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert written and not any("code" in schema for schema in written)
+
+
+def test_other_languages_code_is_dropped_before_the_shuffle(spark, tmp_path):
+    from fixtrail.operators.diffs import method_patches
+
+    from test_changes import versions
+
+    versions(spark).write.parquet(str(tmp_path / "methods"))
+    spark.createDataFrame([("f", "C"), ("g", "D")], "file_change_id string, programming_language string") \
+        .write.parquet(str(tmp_path / "files"))
+    methods, files = (spark.read.parquet(str(tmp_path / name)) for name in ("methods", "files"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    try:
+        text = plan(method_patches(methods, files, "C"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
+    assert text.index("might_contain") > text.index("Exchange hashpartitioning(file_change_id")
