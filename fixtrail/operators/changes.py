@@ -104,7 +104,7 @@ def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
         ("methods_before", "source_code_before", "diff_parsed.deleted", True),
         ("methods", "source_code", "diff_parsed.added", False),
     )
-    numbers = lambda column, field: F.transform(column, lambda x: x[field].cast("bigint"))
+    numbers = lambda column, field: F.col(column)[field].cast("array<bigint>")
     if changed_only:
         files = files.withColumns({
             f"_hit_{methods}": touched(numbers(lines, "line"), numbers(methods, "start_line"),
@@ -128,8 +128,11 @@ def method_rows(files: DataFrame, changed_only: bool = True) -> DataFrame:
                 m.top_nesting_level.alias("top_nesting_level"), F.lit(before).alias("before_change"),
             ))
 
-        # The lambda's argument is the split source, computed once for all methods of the file.
-        return F.coalesce(F.transform(F.array(F.split(source, "\n")), rows)[0], F.array())
+        # The lambda's argument is the split source, computed once for all methods of the file, if it has one to keep.
+        some = F.col(source).isNotNull()
+        if changed_only:
+            some = some & F.array_contains(f"_hit_{methods}", True)
+        return F.coalesce(F.when(some, F.transform(F.array(F.split(source, "\n")), rows)[0]), F.array())
 
     methods = files.select("file_change_id", F.explode(F.concat(*[side(*one) for one in sides])).alias("_m")) \
         .select("file_change_id", "_m.*")
