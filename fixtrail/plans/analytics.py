@@ -18,7 +18,7 @@ from ..functions.paths import last_segment
 from ..functions.text import days_between, decode, mean_above_zero, mean_as_stored, stored_number
 from ..operators.shaping import fill_null, replace_all_strings, round_all
 from ..ranking import running_total
-from ..session import materialise
+from ..session import materialise, spread
 
 Tables = Mapping[str, DataFrame]
 
@@ -149,12 +149,26 @@ def ranked_columns(t: Tables) -> DataFrame:
 
 
 def cve_cwe_per_project(t: Tables) -> DataFrame:
-    """Distinct advisories and weaknesses per project, most advisories first."""
-    pairs = t["fixes"].select("repo_url", "cve_id").distinct()
-    pairs = pairs.join(t["cve"].select("cve_id").distinct(), "cve_id", "left_semi")
-    classes = t["cwe_classification"].select("cve_id", "cwe_id").distinct()
-    counted = pairs.join(classes, "cve_id").groupBy(F.col("repo_url").alias("projects")).agg(
-        F.count_distinct("cve_id").alias("cve_count"), F.count_distinct("cwe_id").alias("cwe_count")
+    """Distinct advisories and weaknesses per project, most advisories first.
+
+    One of an advisory's weaknesses is marked, so that one pass over the pairs counts both.
+    """
+    return _count_advisories(t, t["fixes"])
+
+
+def _count_advisories(t: Tables, fixes: DataFrame) -> DataFrame:
+    """A8 from the links."""
+    pairs = spread(fixes.select("repo_url", "cve_id").where("cve_id IS NOT NULL"), "cve_id").distinct()
+    first = F.row_number().over(Window.partitionBy("cve_id").orderBy("cwe_id")) == 1
+    classes = (
+        t["cwe_classification"].select("cve_id", "cwe_id").distinct()
+        .join(t["cve"].select("cve_id").distinct(), "cve_id", "left_semi")
+        .withColumn("_first", first.cast("bigint"))
+    )
+    counted = (
+        pairs.join(classes, "cve_id").groupBy(F.col("repo_url").alias("projects"), "cwe_id")
+        .agg(F.sum("_first").alias("_firsts"))
+        .groupBy("projects").agg(F.sum("_firsts").alias("cve_count"), F.count("cwe_id").alias("cwe_count"))
     )
     return _ranked(counted, "cve_count", "projects")
 

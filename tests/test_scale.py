@@ -218,3 +218,104 @@ def test_other_languages_code_is_dropped_before_the_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold")
     assert text.index("might_contain") > text.index("Exchange hashpartitioning(file_change_id")
+
+
+def links_on_disk(spark, folder):
+    """The tables that A8, A9, A10 and A17 read, as files."""
+    rows = {
+        "fixes": [(f"v{n % 40}", f"h{n % 90}", f"r/{n % 7}") for n in range(400)],
+        "cve": [(f"v{n}", *["1.5"] * 4) for n in range(35)],
+        "cwe_classification": [(f"v{n % 40}", f"w{n % 6}") for n in range(80)],
+        "cwe": [(f"w{n}", f"name {n}") for n in range(6)],
+        "commits": [(f"h{n}",) for n in range(80)],
+        "file_change": [(f"f{n}", f"h{n % 90}", n % 3, n % 2) for n in range(300)],
+        "method_change": [(f"m{n}", f"f{n % 200}", "g") for n in range(500)],
+    }
+    kinds = {
+        "fixes": "cve_id string, hash string, repo_url string",
+        "cve": "cve_id string, " + ", ".join(f"{score} string" for score in A.SCORES),
+        "cwe_classification": "cve_id string, cwe_id string", "cwe": "cwe_id string, cwe_name string",
+        "commits": "hash string", "file_change": "file_change_id string, hash string, num_lines_added int, num_lines_deleted int",
+        "method_change": "method_change_id string, file_change_id string, name string",
+    }
+    for name, kind in kinds.items():
+        spark.createDataFrame(rows[name], kind).write.parquet(f"{folder}/{name}")
+    t = {name: spark.read.parquet(f"{folder}/{name}") for name in kinds}
+    t["cve"] = t["cve"].withColumn("published_date", F.to_date(F.lit("2020-01-01")))
+    t["commits"] = t["commits"].withColumn("committer_date", F.to_date(F.lit("2020-02-01")))
+    return t, rows
+
+
+def first_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spread_grows_with_the_files(spark, tmp_path, monkeypatch):
+    from fixtrail import session
+
+    spark.range(20000).write.parquet(str(tmp_path / "some numbers"))
+    df = spark.read.parquet(str(tmp_path / "some numbers"))
+    size = sum(file.stat().st_size for file in (tmp_path / "some numbers").glob("*.parquet"))
+    monkeypatch.setattr(session, "BYTES_PER_TASK", size // 50)
+    assert session.spread(df, "id").rdd.getNumPartitions() in (50, 51)
+    monkeypatch.setattr(session, "BYTES_PER_TASK", size)
+    assert session.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert session.spread(spark.createDataFrame([(1,)], "id int"), "id").rdd.getNumPartitions() == 8
+
+
+def test_links_fan_out_over_numbered_tasks(spark, tmp_path):
+    t, rows = links_on_disk(spark, tmp_path)
+    known = {c for c, *_ in rows["cve"]}
+    classes = {}
+    for cve, cwe in rows["cwe_classification"]:
+        classes.setdefault(cve, set()).add(cwe)
+    wanted = {}
+    for cve, _, project in rows["fixes"]:
+        if cve in known and cve in classes:
+            cves, cwes = wanted.setdefault(project, (set(), set()))
+            cves.add(cve)
+            cwes |= classes[cve]
+    counted = A.cve_cwe_per_project(t)
+    assert {r[0]: (r[1], r[2]) for r in counted.collect()} == {p: (len(a), len(b)) for p, (a, b) in wanted.items()}
+    assert "Expand" not in first_plan(counted) and re.search(r"RepartitionByExpression \[cve_id#\d+\], \d", first_plan(counted))
+    for df in (A.weakness_summary(t), A.severity_summary(t)):
+        found = re.findall(r"RepartitionByExpression \[(\w+)#\d+\], \d", first_plan(df))
+        assert {"cve_id", "hash"} <= set(found)
+
+
+def test_top_share_reads_links_once(spark, tmp_path):
+    t, _ = links_on_disk(spark, tmp_path)
+    top = A.top_share(t)
+    assert str(tmp_path / "fixes") not in plan(top) and top.count() == 1
+
+
+def test_pruned_counts_shuffle_files_and_methods_once_per_key(spark, tmp_path):
+    t, rows = links_on_disk(spark, tmp_path)
+    fixes = t["fixes"].select("hash").distinct()
+    t["file_change"] = integrity.keep_linked(t["file_change"], fixes, "hash")
+    both = t["method_change"].unionAll(t["method_change"].withColumn("method_change_id", F.concat("method_change_id", F.lit("x"))))
+    kept = integrity.keep_linked(both, t["file_change"], "file_change_id")
+    assert first_plan(kept).index("Join") < first_plan(kept).index("Union")
+    t["repository"] = t["fixes"].select("repo_url")
+    counts = integrity.check_counts({**t, "method_change": kept})
+    got = {r.rule: (r.left_count, r.right_count) for r in counts.collect()}
+    assert got["commits_files"] == (80, 90) and got["files_methods"] == (300, 200)
+    assert got["textual_files"] == (sum(a == b == 0 for *_, a, b in rows["file_change"]), 0)
+    text = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Expand \[\[(?:(?!Expand)[^\n])*file_change_id", text)
+
+
+def test_sources_without_a_method_to_keep_are_not_split(spark):
+    from fixtrail.operators.changes import method_rows
+
+    method = "array<struct<name:string,long_name:string,parameters:array<string>,start_line:int,end_line:int,nloc:int," \
+             "complexity:int,token_count:int,top_nesting_level:int>>"
+    line = "array<struct<line:int,text:string>>"
+    files = spark.createDataFrame(
+        [(1, "a\nb\nc", None, [("f", "f", [], 2, 3, 1, 1, 1, 0)], None, ([(3, "x")], [])),
+         (2, "a\nb\nc", "a", [("f", "f", [], 2, 3, 1, 1, 1, 0)], [("f", "f", [], 1, 1, 1, 1, 1, 0)], ([(1, "x")], [(1, "x")]))],
+        f"file_change_id long, source_code string, source_code_before string, methods {method}, methods_before {method}, "
+        f"diff_parsed struct<added:{line},deleted:{line}>")
+    got = method_rows(files)
+    assert sorted((r.file_change_id, r.code, r.before_change) for r in got.collect()) == [(1, "b\nc", False), (2, "a", True)]
+    assert len(re.findall(r"CASE WHEN \(isnotnull\(source_code\w*#\d+\) AND array_contains", first_plan(got))) >= 2
