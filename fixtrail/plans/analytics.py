@@ -180,38 +180,37 @@ def weakness_summary(t: Tables) -> DataFrame:
     each weakness's distinct commits; a file belongs to one commit and a method
     to one file, so the sums are the distinct counts. Commits without files count.
     """
-    files = t["file_change"].select("hash", "file_change_id").distinct()
+    files = spread(t["file_change"].select("hash", "file_change_id"), "file_change_id").distinct()
+    named = t["method_change"].select("file_change_id", "method_change_id").where("file_change_id IS NOT NULL")
     methods = (
-        t["method_change"].select("file_change_id", "method_change_id").distinct()
+        spread(named, "file_change_id").distinct()
         .groupBy("file_change_id").agg(F.count("method_change_id").alias("_methods"))
     )
     per_commit = files.join(methods, "file_change_id", "left").groupBy("hash").agg(
         F.count("file_change_id").alias("_files"), F.sum("_methods").alias("_methods")
     )
-    return _count_weaknesses(t, t["commits"].select("hash").distinct(), per_commit)
+    return _count_weaknesses(t, t["fixes"], t["commits"].select("hash").distinct(), per_commit)
 
 
-def _count_weaknesses(t: Tables, loaded: DataFrame, per_commit: DataFrame) -> DataFrame:
-    """A9 from the distinct hashes of the commits and ``per_commit`` (hash, _files, _methods)."""
-    links = (
-        t["fixes"].select("cve_id", "hash").distinct()
-        .join(loaded, "hash", "left_semi")
-        .join(t["cve"].select("cve_id").distinct(), "cve_id", "left_semi")
-    )
+def _count_weaknesses(t: Tables, fixes: DataFrame, loaded: DataFrame, per_commit: DataFrame) -> DataFrame:
+    """A9 from the links, the distinct hashes of the commits and ``per_commit`` (hash, _files, _methods)."""
+    links = spread(
+        spread(fixes.select("cve_id", "hash").where("cve_id IS NOT NULL AND hash IS NOT NULL"), "hash").distinct()
+        .join(loaded, "hash", "left_semi"), "cve_id"
+    ).join(t["cve"].select("cve_id").distinct(), "cve_id", "left_semi")
     classes = t["cwe_classification"].select("cve_id", "cwe_id").distinct()
-    advisories = (
-        classes.join(links.select("cve_id").distinct(), "cve_id", "left_semi")
-        .groupBy("cwe_id").agg(F.count("*").alias("cve_count"))
-    )
-    # Laid out by commit once, for the distinct and for the join.
-    commits = classes.join(links, "cve_id").select("cwe_id", "hash").repartition("hash").distinct()
+    # One of an advisory's links is marked: the marks of a weakness add up to its advisories.
+    first = F.row_number().over(Window.partitionBy("cve_id").orderBy("cve_id")) == 1
+    reached = classes.join(links.withColumn("_first", first.cast("bigint")), "cve_id").select("cwe_id", "hash", "_first")
+    # Laid out by commit once, for the grouping and for the join.
+    commits = spread(reached, "hash").groupBy("cwe_id", "hash").agg(F.sum("_first").alias("_firsts"))
     counted = commits.join(per_commit, "hash", "left").groupBy("cwe_id").agg(
-        F.count("*").alias("commit_count"),
+        F.sum("_firsts").alias("cve_count"), F.count("*").alias("commit_count"),
         F.coalesce(F.sum("_files"), F.lit(0)).alias("file_count"),
         F.coalesce(F.sum("_methods"), F.lit(0)).alias("method_count"),
     )
     names = t["cwe"].select("cwe_id", F.col("cwe_name").alias("description"))
-    summary = advisories.join(counted, "cwe_id").join(names, "cwe_id").select(
+    summary = counted.join(names, "cwe_id").select(
         F.col("cwe_id").alias("CWE"), "description", "cve_count", *COUNTS
     )
     return _ranked(summary, "cve_count", "CWE")
@@ -269,7 +268,7 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     """
     fold = materialise(commit_fold(t))
     loaded = fold.where("commits > 0 AND hash IS NOT NULL")
-    weaknesses = _count_weaknesses(t, loaded.select("hash"), loaded.select(
+    weaknesses = _count_weaknesses(t, t["fixes"], loaded.select("hash"), loaded.select(
         "hash", F.col("file_ids").alias("_files"), F.col("method_ids").alias("_methods")))
     fixes = t["fixes"].groupBy("repo_url", "hash").agg(F.count("*").alias("_fixes"))
     projects = fixes.join(loaded, "hash").groupBy("repo_url").agg(*[
