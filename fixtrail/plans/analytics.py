@@ -244,12 +244,14 @@ def commit_fold(t: Tables) -> DataFrame:
     def rows_with(key: str) -> Column:
         return F.sum(F.when(F.col(key).isNotNull(), F.col("_rows")))
 
+    named = t["method_change"].select("file_change_id", "method_change_id").where("file_change_id IS NOT NULL")
     methods = (
-        t["method_change"].groupBy("file_change_id", "method_change_id").agg(F.count("*").alias("_rows"))
+        spread(named, "file_change_id").groupBy("file_change_id", "method_change_id").agg(F.count("*").alias("_rows"))
         .groupBy("file_change_id").agg(rows_with("method_change_id").alias("_methods"),
                                        F.count("method_change_id").alias("_method_ids"))
     )
-    files = t["file_change"].groupBy("file_change_id", "hash").agg(F.count("*").alias("_rows"))
+    files = spread(t["file_change"].select("file_change_id", "hash"), "file_change_id") \
+        .groupBy("file_change_id", "hash").agg(F.count("*").alias("_rows"))
     per_file = files.join(methods, "file_change_id", "left").groupBy("hash").agg(
         rows_with("file_change_id").alias("files"), F.sum(F.col("_rows") * F.col("_methods")).alias("methods"),
         F.count("file_change_id").alias("file_ids"), F.sum("_method_ids").alias("method_ids"),
@@ -263,17 +265,19 @@ def commit_fold(t: Tables) -> DataFrame:
 def top_share(t: Tables, limit: int = 10) -> DataFrame:
     """A10: percent of advisories, commits, files and methods held by the top projects and the top weaknesses.
 
-    Commits, files and methods are folded once to a row per commit, written while the plan is built; projects, weaknesses
-    and the number of commits are taken from that table.
+    Commits, files and methods are folded once to a row per commit, and links to a row each, both written while the
+    plan is built; projects (written too), weaknesses and the number of commits are taken from these tables.
     """
     fold = materialise(commit_fold(t))
+    links = materialise(t["fixes"].groupBy("cve_id", "hash", "repo_url").agg(F.count("*").alias("_fixes")))
     loaded = fold.where("commits > 0 AND hash IS NOT NULL")
-    weaknesses = _count_weaknesses(t, t["fixes"], loaded.select("hash"), loaded.select(
+    weaknesses = _count_weaknesses(t, links, loaded.select("hash"), loaded.select(
         "hash", F.col("file_ids").alias("_files"), F.col("method_ids").alias("_methods")))
-    fixes = t["fixes"].groupBy("repo_url", "hash").agg(F.count("*").alias("_fixes"))
-    projects = fixes.join(loaded, "hash").groupBy("repo_url").agg(*[
+    hashed = spread(links.select("repo_url", "hash", "_fixes").where("hash IS NOT NULL"), "hash")
+    fixes = hashed.groupBy("repo_url", "hash").agg(F.sum("_fixes").alias("_fixes"))
+    projects = materialise(fixes.join(loaded, "hash").groupBy("repo_url").agg(*[
         F.sum(F.col("_fixes") * F.col("commits") * rows).alias(count)
-        for count, rows in zip(COUNTS, (F.lit(1), F.col("files"), F.col("methods")))])
+        for count, rows in zip(COUNTS, (F.lit(1), F.col("files"), F.col("methods")))]))
 
     def scalar(df: DataFrame) -> Column:
         return df.scalar()
@@ -285,7 +289,7 @@ def top_share(t: Tables, limit: int = 10) -> DataFrame:
     weak = scalar(top_weaknesses.agg(F.struct(*[F.sum(c).alias(c) for c in ("cve_count", *COUNTS)])))
     spark = t["fixes"].sparkSession
     parts = spark.range(1).select(
-        _top_sum(cve_cwe_per_project(t), "cve_count", "projects", limit).scalar().alias("_p_cve"),
+        _top_sum(_count_advisories(t, links), "cve_count", "projects", limit).scalar().alias("_p_cve"),
         scalar(_top_sums(projects, limit).select(F.struct(*COUNTS))).alias("_p"),
         weak.alias("_w"),
         sizes("cve", "cve_id").alias("_cve"),
