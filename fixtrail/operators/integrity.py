@@ -19,8 +19,11 @@ PLACEHOLDER = "visit repo url"
 
 
 def keep_linked(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``keys``; the keys are made distinct before they are shuffled."""
-    return df.join(keys.select(key).distinct(), key, "left_semi").select(*df.columns)
+    """Rows whose key occurs in ``keys``; the keys are made distinct before they are shuffled.
+
+    A semi join would be moved below a union, whose rows then lose their layout by key.
+    """
+    return df.join(keys.select(key).distinct(), key).select(*df.columns)
 
 
 def drop_non_textual(files: DataFrame) -> DataFrame:
@@ -127,18 +130,24 @@ COUNT_RULES = (
 
 def check_counts(tables: Tables) -> DataFrame:
     """One row per rule (rule, left_count, right_count, holds); the last rule is that no file is non-textual."""
-    # One pass over each table counts all its keys; the rules then compare numbers of one row.
+    # One pass over each table but files counts all its keys; the rules then compare numbers of one row.
     wanted: dict[str, list[str]] = {}
     for _, *sides, _ in COUNT_RULES:
         for table, column in sides:
             if column not in wanted.setdefault(table, []):
                 wanted[table].append(column)
-    counts = []
+    counts, places = [], {}
     for table, columns in wanted.items():
-        measures = [F.count_distinct(column).alias(column) for column in columns]
-        if table == "file_change":
-            measures.append(F.count_if((F.col("num_lines_added") == 0) & (F.col("num_lines_deleted") == 0)).alias("empty"))
-        counts.append(tables[table].agg(F.struct(*measures)).scalar().alias(table))
+        # Files have two wide keys: counted in one pass, every row would be shuffled once per key with all counted columns.
+        for some in ([column] for column in columns) if table == "file_change" else (columns,):
+            rows, measures = tables[table], [F.count_distinct(column).alias(column) for column in some]
+            if (table, some) == ("file_change", ["hash"]):
+                measures.append(F.count_if((F.col("num_lines_added") == 0) & (F.col("num_lines_deleted") == 0)).alias("empty"))
+            elif len(some) == 1:
+                rows = rows.where(F.col(some[0]).isNotNull())
+            place = f"{table}_{some[0]}"
+            counts.append(rows.agg(F.struct(*measures)).scalar().alias(place))
+            places.update({(table, column): F.col(place)[column] for column in some})
     known = tables["fixes"].sparkSession.range(1).select(*counts)
 
     def rule(name: str, left: Column, right: Column, holds: Column) -> Column:
@@ -146,9 +155,9 @@ def check_counts(tables: Tables) -> DataFrame:
 
     rules = []
     for name, left, right, relation in COUNT_RULES:
-        one, other = (F.col(table)[column] for table, column in (left, right))
+        one, other = places[left], places[right]
         rules.append(rule(name, one, other, one >= other if relation == ">=" else one == other))
-    empty = F.col("file_change.empty")
+    empty = F.col("file_change_hash.empty")
     rules.append(rule("textual_files", empty, F.lit(0).cast("bigint"), empty == 0))
     return known.select(F.explode(F.array(*rules)).alias("r")).select("r.*")
 
