@@ -440,7 +440,8 @@ def project_scores(t: Tables, digits: int = 2) -> DataFrame:
     numbers = cve.select(
         "cve_id", *[_number(cve, s).alias(s) for s in SCORES], *[_stored_text(cve, s).alias(f"_{s}") for s in SCORES]
     )
-    links = t["fixes"].groupBy("repo_url", "cve_id").agg(F.count("*").alias("_n"))
+    linked = spread(t["fixes"].select("repo_url", "cve_id").where("cve_id IS NOT NULL"), "cve_id")
+    links = linked.groupBy("repo_url", "cve_id").agg(F.count("*").alias("_n"))
     n = F.col("_n")
     means = [F.round(mean_above_zero(F.col(s), n), digits).alias(MEAN_NAMES[s]) for s in SCORES]
     stored = [F.round(mean_as_stored(F.col(f"_{s}"), n), digits).alias(f"{MEAN_NAMES[s]}_as_stored") for s in SCORES]
@@ -456,11 +457,10 @@ def days_to_fix(t: Tables, digits: int = 3) -> DataFrame:
     Equal day counts of a project are folded first, so a project's median works on
     as many numbers as there are different day counts.
     """
-    links = t["fixes"].groupBy("repo_url", "cve_id", "hash").agg(F.count("*").alias("_n"))
-    dated = (
-        links.join(t["cve"].select("cve_id", "published_date"), "cve_id")
-        .join(t["commits"].select("hash", "committer_date"), "hash")
-    )
+    linked = t["fixes"].select("repo_url", "cve_id", "hash").where("cve_id IS NOT NULL AND hash IS NOT NULL")
+    links = spread(linked, "cve_id").groupBy("repo_url", "cve_id", "hash").agg(F.count("*").alias("_n"))
+    published = spread(links.join(t["cve"].select("cve_id", "published_date"), "cve_id").drop("cve_id"), "hash")
+    dated = published.join(t["commits"].select("hash", "committer_date"), "hash")
     days = dated.groupBy(
         F.col("repo_url").alias("project"), days_between(F.col("committer_date"), F.col("published_date")).alias("_d")
     ).agg(F.sum("_n").alias("_n"))
