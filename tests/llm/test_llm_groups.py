@@ -1,9 +1,11 @@
 """Deduplication, joins, components, mixing: against brute force and SQL."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare, connect
 from pyspark.sql import functions as F
@@ -232,3 +234,67 @@ def test_mix_runs_without_python(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     plan = fair_mix.mix_documents(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+class Lists:
+    """Stands for the DataFrame that ``near_lists`` reads; gives its function."""
+
+    def select(self, *columns):
+        return self
+
+    repartition = sortWithinPartitions = select
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def listed(token, first, second, block, component, n, m):
+    """A sorted batch of rows of ``near_lists``, as if all prefixes reached the common shingles."""
+    rows = len(token)
+    order = np.lexsort((second, first, token))
+    column = lambda x, kind: pa.array(np.asarray(x)[order], kind)
+    return pa.RecordBatch.from_arrays(
+        [column(token, pa.int64()), column(np.zeros(rows, bool), pa.bool_()), column(first, pa.int64()),
+         column(second, pa.int64()), column(block, pa.int64()), column(component, pa.int64()), column(n, pa.int32()),
+         column(m, pa.int32()), column(np.ones(rows, bool), pa.bool_()), column(m, pa.int32()),
+         column(np.zeros(rows), pa.int32()), column(np.zeros(rows), pa.int64())],
+        ["token", "own", "first", "second", "block", "component", *grouped_prefix_join.KNOWN[1:]])
+
+
+def test_edges_of_a_long_list_stay_few():
+    rows, zero = 1500, np.zeros(1500, np.int64)
+    batch = listed(zero, zero, zero, zero, np.random.default_rng(1).permutation(rows), zero + 400, zero + 390)
+    tracemalloc.start()
+    found = [x for x in grouped_prefix_join.near_lists(Lists(), 85)(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    edges = [(u, v) for x in found for u, v in zip(*(c.to_pylist() for c in x.columns))]
+    assert len(edges) == rows - 1 and len(grouped_prefix_join.joined_up(*np.array(edges).T)) == rows - 1
+    # An edge per pair would take more than 100 MB.
+    assert peak < 16 << 20
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lists_join_what_all_pairs_join(seed):
+    rng = np.random.default_rng(seed)
+    rows = 700
+    token = rng.choice([3, 5, 6, 8, 9], rows, p=[0.6, 0.25, 0.1, 0.04, 0.01])
+    n = rng.choice([20, 22, 26, 60, 200, 204], rows) + rng.integers(0, 4, rows)
+    m = (n * rng.uniform(0.75, 1, rows)).astype(int)
+    second = np.where(token == 5, 1, 0)
+    block = np.where(token == 5, rng.integers(0, 2, rows), 0)
+    component = rng.integers(0, 500, rows)
+    batch = listed(token, np.zeros(rows, int), second, block, component, n, m)
+    parts = [batch.slice(k, 150) for k in range(0, rows, 150)]
+    found = [e for x in grouped_prefix_join.near_lists(Lists(), 85)(iter(parts)) for e in zip(*(c.to_pylist() for c in x.columns))]
+    bound = np.minimum(m[:, None], m[None, :]) * 185
+    wanted = np.triu((token[:, None] == token[None, :]) & (bound >= 85 * (n[:, None] + n[None, :])), 1)
+    wanted &= (second == 0)[:, None] | (block[:, None] != block[None, :])
+    i, j = np.nonzero(wanted & (component[:, None] != component[None, :]))
+
+    def roots(edges):
+        above = grouped_prefix_join.least_of(np.arange(500), [(int(a), int(b)) for a, b in edges])
+        return above.tolist()
+
+    assert roots(found) == roots(zip(component[i], component[j]))
+    assert len(found) <= rows
