@@ -274,6 +274,17 @@ def test_edges_of_a_long_list_stay_few():
     assert peak < 16 << 20
 
 
+def test_edges_between_blocks_of_a_list_stay_few():
+    """Two blocks of a list that is cut, with the pipeline's share."""
+    rows, zero = 1500, np.zeros(1500, np.int64)
+    batch = listed(zero, zero, zero + 1, np.arange(rows) // 750, np.arange(rows), zero + 390, zero + 370)
+    tracemalloc.start()
+    found = [x for x in grouped_prefix_join.near_lists(Lists(), 80)(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(x.num_rows for x in found) == rows - 1 and peak < 16 << 20
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_lists_join_what_all_pairs_join(seed):
     rng = np.random.default_rng(seed)
